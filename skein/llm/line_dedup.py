@@ -41,7 +41,7 @@ def dedup_lines(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text_col
     ws.drop("repeated")
     gone = F.array_distinct(F.flatten(F.transform("_starts", lambda p: F.sequence(p, p + WINDOW - 1))))
     lines = F.split(F.col(text_col), "\n")
-    out = docs.join(covered, F.col(id_col) == F.col("_id"), "left").withColumn("_lines", lines).withColumn("_gone", F.coalesce(gone, F.array().cast("array<int>")))
+    out = docs.join(covered.hint("merge"), F.col(id_col) == F.col("_id"), "left").withColumn("_lines", lines).withColumn("_gone", F.coalesce(gone, F.array().cast("array<int>")))
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     kept = F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")
     n_lines = F.when(F.col("_lines").isNull(), 0).otherwise(F.size("_lines"))
