@@ -10,16 +10,22 @@ from .common import Workspace, small, words
 SHINGLE, PERCENT = 5, 80
 
 
-def shingles(ws_col: Column, k: Column, hashed: bool) -> Column:
-    """The distinct k-word shingles of an array of words, as 64-bit hashes or as strings; fewer words than k: none."""
+def runs(df: DataFrame, key: str, k: int) -> DataFrame:
+    """(key, _min): the 64-bit hash of every run of k words in the array _w.
+
+    Neighbouring words stand side by side in generated code, without a lambda for each position. inline_outer: for a
+    plain inline Spark would push a filter on its size below, and tokenise the text for each word.
+    """
+    side = F.arrays_zip(*[F.slice("_w", j + 1, F.greatest(F.size("_w"), F.lit(1))).alias(f"w{j}") for j in range(k)])
+    beside = df.select(key, F.inline_outer(side).alias(*[f"w{j}" for j in range(k)]))
+    return beside.filter(F.col(f"w{k - 1}").isNotNull()).select(key, F.xxhash64(*[f"w{j}" for j in range(k)]).alias("_min"))
 
-    def one(i):
-        run = F.slice(ws_col, i + 1, k)
-        return F.xxhash64(run) if hashed else F.array_join(run, " ")
 
-    starts = F.sequence(F.lit(0), F.greatest(F.size(ws_col) - k, F.lit(0)))
-    empty = F.array().cast("array<bigint>" if hashed else "array<string>")
-    return F.when(F.size(ws_col) >= k, F.array_distinct(F.transform(starts, one))).otherwise(empty)
+def shingles(w: Column, k: Column) -> Column:
+    """The distinct k-word shingles of an array of words; fewer words than k: none."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size(w) - k, F.lit(0)))
+    all_runs = F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(w, i + 1, k), " ")))
+    return F.when(F.size(w) >= k, all_runs).otherwise(F.array().cast("array<string>"))
 
 
 def contaminated(ws: Workspace, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -37,36 +43,41 @@ def contaminated(ws: Workspace, docs: DataFrame, items: DataFrame, id_col: str =
     columns are ignored.
     """
     it = items.select(F.col(item_id).alias("item_id"), words(F.col(item_text)).alias("_w")).filter("item_id is not null and size(_w) > 0")
-    it = it.withColumn("_k", F.least(F.size("_w"), F.lit(shingle))).withColumn("_h", F.array_sort(shingles(F.col("_w"), F.col("_k"), True)))
-    it = it.withColumn("n_item", F.size("_h")).withColumn("_class", F.floor(F.log2("n_item")).cast("int"))
-    it = it.withColumn("_sketch", F.slice("_h", 1, F.col("n_item") - F.ceil(F.col("n_item") * percent / 100).cast("int") + 1))
-    sketch = ws.put("sketch", it.select("item_id", "_k", "_class", F.explode("_sketch").alias("_min")))
-    ceilings = sketch.groupBy("_k").agg(F.max("_min").alias("top")).collect()  # at most `shingle` rows
+    it = ws.put("items", it.withColumn("_k", F.least(F.size("_w"), F.lit(shingle))))
+    lengths = sorted(r["_k"] for r in it.select("_k").distinct().collect())  # at most `shingle` rows
+    if not lengths:
+        return ws.spark.createDataFrame([], "doc_id long, item_id long, n_shared int, n_item int")
+    sets = None
+    for k in lengths:
+        one = runs(it.filter(F.col("_k") == k), "item_id", k).groupBy("item_id").agg(F.sort_array(F.collect_set("_min")).alias("_h")).withColumn("_k", F.lit(k))
+        sets = one if sets is None else sets.unionByName(one)
+    sets = sets.withColumn("_n", F.size("_h")).withColumn("_class", F.floor(F.log2("_n")).cast("int"))
+    sketch = F.slice("_h", 1, F.col("_n") - F.ceil(F.col("_n") * percent / 100).cast("int") + 1)
+    sketch = ws.put("sketch", sets.select("item_id", "_k", "_class", F.explode(sketch).alias("_min")))
+    # the largest minimum of each size class of each length bounds what a document sends
+    classes = sketch.groupBy("_k", "_class").agg(F.max("_min").alias("top")).collect()
 
     d = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("_w"))
     probes = None
-    for row in sorted(ceilings):
-        k = F.lit(row["_k"])
-        sent = d.select("doc_id", k.alias("_k"), F.explode(shingles(F.col("_w"), k, True)).alias("_min")).filter(F.col("_min") <= row["top"])
+    for k in lengths:
+        sent = runs(d, "doc_id", k).filter(F.col("_min") <= max(r["top"] for r in classes if r["_k"] == k)).withColumn("_k", F.lit(k))
         probes = sent if probes is None else probes.unionByName(sent)
-    if probes is None:
-        return ws.spark.createDataFrame([], "doc_id long, item_id long, n_shared int, n_item int")
     pairs = ws.put("pairs", probes.join(small(sketch.select("_k", "_min", "item_id"), 64), ["_k", "_min"]).select("doc_id", "item_id").distinct())
     ws.drop("sketch")
 
-    full = it.select("item_id", "_k", "n_item", shingles(F.col("_w"), F.col("_k"), False).alias("_item"))
+    full = it.select("item_id", "_k", shingles(F.col("_w"), F.col("_k")).alias("_item"))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     # only documents with a candidate are tokenised again
-    both = pairs.join(texts, "doc_id").join(small(full, 16384), "item_id").withColumn("_w", words(F.col("_text")))
-    shared = F.size(F.array_intersect(shingles(F.col("_w"), F.col("_k"), False), F.col("_item")))
-    found = both.select("doc_id", "item_id", shared.alias("n_shared"), "n_item").filter(F.col("n_shared") * 100 >= F.col("n_item") * percent)
-    return found.groupBy("doc_id", "item_id").agg(F.max("n_shared").alias("n_shared"), F.max("n_item").alias("n_item"))
+    both = pairs.hint("merge").join(texts, "doc_id").join(small(full, 16384), "item_id").withColumn("_w", words(F.col("_text")))
+    shared = F.size(F.array_intersect(shingles(F.col("_w"), F.col("_k")), F.col("_item")))
+    found = both.groupBy("doc_id", "item_id").agg(F.max(shared).alias("n_shared"), F.max(F.size("_item")).alias("n_item"))
+    return found.filter(F.col("n_shared") * 100 >= F.col("n_item") * percent)
 
 
 def decontaminate(ws: Workspace, docs: DataFrame, items: DataFrame, **names: str) -> DataFrame:
     """docs without the documents that hold an item; rows with a null id or text stay."""
     hit = ws.put("hits", contaminated(ws, docs, items, **names).select(F.col("doc_id").alias("_hit")).distinct())
-    return docs.join(hit, F.col(names.get("id_col", "doc_id")) == F.col("_hit"), "left_anti")
+    return docs.join(hit.hint("merge"), F.col(names.get("id_col", "doc_id")) == F.col("_hit"), "left_anti")
 
 
 ORACLE = r"""

@@ -18,8 +18,9 @@ def windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         three = [F.get("_l", i + j) for j in range(WINDOW)]
         return F.struct(i.alias("_pos"), F.xxhash64(*three).alias("_k1"), F.xxhash64(F.lit("second"), *three).alias("_k2"), F.length(F.trim(F.concat(*three))).alias("_size"))
 
+    # inline_outer: for a plain inline Spark would push a filter on its size below, and split the text for each line
     last = F.greatest(F.size("_l") - WINDOW, F.lit(0))
-    return lines.select("_id", F.inline(F.transform(F.sequence(F.lit(0), last), window))).filter("_size > 0").drop("_size")
+    return lines.select("_id", F.inline_outer(F.transform(F.sequence(F.lit(0), last), window))).filter("_size > 0").drop("_size")
 
 
 def dedup_lines(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

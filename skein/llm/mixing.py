@@ -101,4 +101,4 @@ def mix(ws: Workspace, docs: DataFrame, total_fraction: float = 0.5, epochs: int
     ws.drop("epoch", "tokens")
     base = docs.drop("domain", "n_tokens", "n_copies")
     keyed = base.withColumns({"domain": path[0], "n_tokens": token_count(F.col(text_col)), "_leaf": leaf, "_id": F.coalesce(F.col(id_col).cast("string"), F.lit(""))})
-    return keyed.join(counts, (F.col("_id") == F.col("_cid")) & (F.col("_leaf") == F.col("_cleaf")) & (F.col("n_tokens") == F.col("_ctokens"))).drop("_id", "_leaf", "_cid", "_cleaf", "_ctokens")
+    return keyed.join(counts.hint("merge"), (F.col("_id") == F.col("_cid")) & (F.col("_leaf") == F.col("_cleaf")) & (F.col("n_tokens") == F.col("_ctokens"))).drop("_id", "_leaf", "_cid", "_cleaf", "_ctokens")

@@ -149,7 +149,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _confirm(ws: Workspace, name: str, pairs: DataFrame, reps: DataFrame, texts: DataFrame, best_only: bool) -> DataFrame:
     """The pairs that pass the estimate and then the exact check on whole sets."""
     side = lambda x: reps.select(F.col("_rep").alias(f"_{x}"), F.col("_n").alias(f"_n{x}"), F.col("_sketch").alias(f"_s{x}"))
-    near = pairs.join(side("a"), "_a").join(side("b"), "_b").filter((F.col("_na") * 100 >= F.col("_nb") * PERCENT) & (F.col("_nb") * 100 >= F.col("_na") * PERCENT))
+    near = pairs.hint("merge").join(side("a"), "_a").join(side("b").hint("merge"), "_b").filter((F.col("_na") * 100 >= F.col("_nb") * PERCENT) & (F.col("_nb") * 100 >= F.col("_na") * PERCENT))
     near = near.mapInArrow(_likely_pairs, "_a long, _b long")
     if best_only:
         near = near.groupBy("_a").agg(F.min("_b").alias("_b"))
@@ -157,7 +157,7 @@ def _confirm(ws: Workspace, name: str, pairs: DataFrame, reps: DataFrame, texts:
     needed = ws.put(f"{name}_needed", near.select(F.explode(F.array("_a", "_b")).alias("_id")).distinct())
     sets = ws.put(f"{name}_sets", texts.join(small(needed, 16), "_id", "left_semi").mapInArrow(_sets, "_id long, _set binary"))
     a, b = (sets.select(F.col("_id").alias(f"_{x}"), F.col("_set").alias(f"_x{x}")) for x in "ab")
-    links = ws.put(f"{name}_links", near.join(a, "_a").join(b, "_b").mapInArrow(_verified, "_a long, _b long"))
+    links = ws.put(f"{name}_links", near.hint("merge").join(a, "_a").join(b.hint("merge"), "_b").mapInArrow(_verified, "_a long, _b long"))
     ws.drop(f"{name}_near", f"{name}_needed", f"{name}_sets")
     return links
 
@@ -182,18 +182,18 @@ def near_duplicates(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text
     known = all_sets.filter("_n > 0 and _id is not null")
     classes = ws.put("classes", known.groupBy("_print").agg(F.min("_id").alias("_rep")))
     first = classes.select(F.col("_rep").alias("_id"), "_print")
-    reps = ws.put("reps", known.join(first, ["_id", "_print"], "left_semi").select(F.col("_id").alias("_rep"), "_n", "_sketch").dropDuplicates(["_rep"]))
+    reps = ws.put("reps", known.join(first.hint("merge"), ["_id", "_print"], "left_semi").select(F.col("_id").alias("_rep"), "_n", "_sketch").dropDuplicates(["_rep"]))
     banded = "_key long, _rep long, _label long, _n long"
 
     bands = reps.withColumn("_label", F.col("_rep")).mapInArrow(_bands, banded).select("_key", "_rep")
     hubs = ws.put("hubs", bands.groupBy("_key").agg(F.min("_rep").alias("_hub"), F.max("_rep").alias("_last")).filter("_hub < _last").drop("_last"))
-    stars = ws.put("stars", bands.join(hubs, "_key").filter("_rep <> _hub").select(F.col("_rep").alias("_a"), F.col("_hub").alias("_b")).distinct())
+    stars = ws.put("stars", bands.join(hubs.hint("merge"), "_key").filter("_rep <> _hub").select(F.col("_rep").alias("_a"), F.col("_hub").alias("_b")).distinct())
     ws.drop("hubs")
     links = _confirm(ws, "star", stars, reps, texts, best_only=True)
     ws.drop("stars")
     labels = ws.put("labels", components(ws, "cc", links.select(F.col("_a").alias("a"), F.col("_b").alias("b"))))
 
-    labelled = reps.join(labels, F.col("_rep") == F.col("node"), "left").withColumn("_label", F.coalesce("label", "_rep"))
+    labelled = reps.join(labels.hint("merge"), F.col("_rep") == F.col("node"), "left").withColumn("_label", F.coalesce("label", "_rep"))
     bands = labelled.select("_rep", "_label", "_n", "_sketch").mapInArrow(_bands, banded)
     mixed = ws.put("mixed", bands.groupBy("_key").agg(F.min("_label").alias("_x"), F.max("_label").alias("_y")).filter("_x < _y").select("_key"))
     members = ws.put("members", bands.join(mixed, "_key"))
@@ -212,7 +212,7 @@ def near_duplicates(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text
     ws.drop("rest", "labels")
 
     found = ws.put("found", classes.join(labels, F.col("_rep") == F.col("node"), "left").select(F.col("_print").alias("_p"), F.coalesce("label", "_rep").alias("_component")))
-    out = all_sets.select("_id", "_n", "_print").join(found, (F.col("_print") == F.col("_p")) & (F.col("_n") > 0) & F.col("_id").isNotNull(), "left")
+    out = all_sets.select("_id", "_n", "_print").join(found.hint("merge"), (F.col("_print") == F.col("_p")) & (F.col("_n") > 0) & F.col("_id").isNotNull(), "left")
     component = F.coalesce("_component", "_id")
     out = out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("_id") == component, F.lit(True)).alias("kept"))
     out = ws.put("result", out)
@@ -223,5 +223,5 @@ def near_duplicates(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text
 def keep_one(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the documents whose component has a smaller id. Rows with a null id stay."""
     gone = near_duplicates(ws, docs, id_col, text_col).filter("not kept").select(F.col(id_col).alias("_gone"))
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return docs.join(gone.hint("merge"), F.col(id_col) == F.col("_gone"), "left_anti")
 

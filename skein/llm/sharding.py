@@ -45,7 +45,7 @@ def _place(ws: Workspace, name: str, now: DataFrame, shards: int, quota: list[in
             at -= n
     spec = F.broadcast(ws.spark.createDataFrame(holes, "_to int, _from long, _until long"))  # one row for each shard
     placed = pool.join(spec, (F.col("before") >= F.col("_from")) & (F.col("before") < F.col("_until"))).select("_row", "_to")
-    return now.join(placed, "_row", "left").withColumn("_shard", F.coalesce("_to", "_shard")).drop("_to")
+    return now.join(placed.hint("merge"), "_row", "left").withColumn("_shard", F.coalesce("_to", "_shard")).drop("_to")
 
 
 def shard_rows(ws: Workspace, rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
@@ -81,7 +81,7 @@ def shard_rows(ws: Workspace, rows: DataFrame, shards: int = SHARDS, rounds: int
         spec = F.broadcast(ws.spark.createDataFrame([(s, t, x) for (s, t), x in got.items()], "_shard int, _to int, _most long"))
         fit = running(ws, f"fit{k}", moves.join(spec, ["_shard", "_to"]).withColumn("_pair", F.col("_shard") * shards + F.col("_to")), "_pair", ["_gmix", "_group", "_row"], F.lit(1))
         done = ws.put(f"done{k}", fit.filter("before < _most").select("_row", "_to"))
-        moved = ws.put(f"moved{k}", now.join(done, "_row", "left").withColumn("_shard", F.coalesce("_to", "_shard")).drop("_to"))
+        moved = ws.put(f"moved{k}", now.join(done.hint("merge"), "_row", "left").withColumn("_shard", F.coalesce("_to", "_shard")).drop("_to"))
         now = ws.put(f"shards{k}", _place(ws, f"place{k}", moved, shards, quota))
         ws.drop(f"shards{last}", f"best{k}", f"moves{k}", f"fit{k}", f"done{k}", f"moved{k}", f"place{k}_leave", f"place{k}_go", f"place{k}_pool")
         last = k
@@ -111,7 +111,7 @@ def shard_documents(ws: Workspace, docs: DataFrame, shards: int = SHARDS, id_col
     base = docs.drop("shard", "slot").withColumns({"_id": F.coalesce(F.col(id_col).cast("string"), F.lit("")), "_group": text_key(text_col)})
     several = rows.filter("_nth > 1").limit(1).count() > 0
     base = base.withColumn("_nth", nth if several else F.lit(1)).withColumn("_key", F.concat_ws("/", "_id", "_group", F.col("_nth").cast("string")))
-    return base.join(placed, F.col("_key") == F.col("_row")).withColumnsRenamed({"_shard": "shard", "_slot": "slot"}).drop("_id", "_group", "_nth", "_key", "_row")
+    return base.join(placed.hint("merge"), F.col("_key") == F.col("_row")).withColumnsRenamed({"_shard": "shard", "_slot": "slot"}).drop("_id", "_group", "_nth", "_key", "_row")
 
 
 def assignments(ws: Workspace, docs: DataFrame) -> DataFrame:

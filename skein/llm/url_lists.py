@@ -45,12 +45,12 @@ def filter_urls(ws: Workspace, captures: DataFrame, entries: DataFrame, id_col:
     labels, steps = F.split("_host", r"\."), F.split("_path", "/")
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.struct(F.lit("domain").alias("kind"), F.array_join(F.slice(labels, i, F.size(labels)), ".").alias("key")))
     paths = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.struct(F.lit("prefix").alias("kind"), F.lower(F.concat("_host", F.array_join(F.slice(steps, 1, i), "/"))).alias("key")))
-    questions = asked.filter("_host <> '' and _at is not null").select("_id", "_url", "_at", F.inline(F.array_distinct(F.concat(domains, paths))))
+    questions = asked.filter("_host <> '' and _at is not null").select("_id", "_url", "_at", F.inline_outer(F.array_distinct(F.concat(domains, paths))))
     valid = ws.put("intervals", intervals(entries))
     hits = questions.join(small(valid, 256), ["kind", "key"]).filter((F.col("_at") >= F.col("start")) & (F.col("end").isNull() | (F.col("_at") < F.col("end"))))
     found = hits.groupBy("_id", "_url", "_at").agg(F.array_join(F.array_sort(F.collect_set("list")), ",").alias("_lists"), F.count_distinct("list", "kind", "key", "start").alias("_n"))
     right = found.select(F.col("_id").alias("_i"), F.col("_url").alias("_u"), F.col("_at").alias("_t"), "_lists", "_n")
-    out = asked.join(right, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_url") == F.col("_u")) & (F.col("_at") == F.col("_t")), "left")
+    out = asked.join(right.hint("merge"), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_url") == F.col("_u")) & (F.col("_at") == F.col("_t")), "left")
     return out.select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), F.col("_at").alias(time_col), F.col("_n").isNotNull().alias("blocked"), F.coalesce("_lists", F.lit("")).alias("lists"), F.coalesce("_n", F.lit(0)).cast("long").alias("n_entries"))
 
 
