@@ -41,8 +41,20 @@ class UdtfRegistration:
 
     def registerTemporary(self, cls: type, returnType: str, name: str | None = None) -> TableFunction:
         known = _named("udtf", name)
-        if not hasattr(cls, "eval"):
-            cls = type(cls.__name__, (cls,), {"eval": lambda self, *a: self.process(*a), "terminate": lambda self: self.endPartition()})
+        row, end = (getattr(cls, n, None) or getattr(cls, m, None) for n, m in (("eval", "process"), ("terminate", "endPartition")))
+
+        class Handler(cls):
+            """Spark can't place rows that the end of an empty partition yields: there is no input row beside them."""
+
+            def eval(self, *args: Any):
+                self._seen = True
+                yield from row(self, *args) or ()
+
+            def terminate(self):
+                if end is not None and getattr(self, "_seen", False):
+                    yield from end(self) or ()
+
+        cls = Handler
         self.spark.udtf.register(known, F.udtf(cls, returnType=returnType))
         return TableFunction(known)
 
