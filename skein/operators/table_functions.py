@@ -98,13 +98,16 @@ def flatten_frame(df: DataFrame, column: Column, path: str = "", outer: bool = F
     if mode not in MODES:
         raise ValueError(f"mode is one of {', '.join(MODES)}, not {mode}")
     kind = df.select(column).schema[0].dataType
+    # a source column with the name of one of the six new ones is prefixed
+    names = ["SEQ", "KEY", "PATH", "INDEX", "VALUE", "THIS"]
+    base = df.withColumn("_v", column).withColumnsRenamed({c: f"l_{c}" for c in df.columns if c.upper() in names})
     if isinstance(kind, StringType):
-        v = F.parse_json(column)
+        v = F.parse_json("_v")
     elif kind.simpleString() == "variant":
-        v = column
+        v = F.col("_v")
     else:
-        v = F.parse_json(F.to_json(column))
-    base = df.withColumns({"SEQ": F.monotonically_increasing_id(), "_v": F.try_variant_get(v, variant_path(path), "variant") if path else v})
+        v = F.parse_json(F.to_json("_v"))
+    base = base.withColumns({"SEQ": F.monotonically_increasing_id(), "_v": F.try_variant_get(v, variant_path(path), "variant") if path else v})
     if recursive:
         walk = F.udf(lambda text: None if text is None else _parts(text, True, mode), _PART, useArrow=True)
         parts = walk(F.to_json("_v"))
@@ -118,7 +121,6 @@ def flatten_frame(df: DataFrame, column: Column, path: str = "", outer: bool = F
         parts = from_object if mode == "OBJECT" else from_array if mode == "ARRAY" else F.coalesce(from_object, from_array)
     rows = base.withColumn("_parts", parts)
     rows = rows.select("*", (F.explode_outer if outer else F.explode)("_parts").alias("_p")).select("*", "_p.*").drop("_parts", "_p", "_v")
-    names = ["SEQ", "KEY", "PATH", "INDEX", "VALUE", "THIS"]
     if recursive:
         rows = rows.withColumns({c: F.parse_json(c) for c in ("VALUE", "THIS")})
     if path:

@@ -1,19 +1,26 @@
-"""Queries over the driver's tables, each with DuckDB SQL of the same result."""
+"""Queries over the driver's tables, each with DuckDB SQL of the same result where SQL has one."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(sql: str | None = None):
+    """Registers a function (spark, sf_dir) that returns a Frame or DataFrame."""
+
     def add(f):
-        QUERIES[f.__name__] = f
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            out = f(spark, sf_dir)
+            return out if isinstance(out, DataFrame) else out.df
+
+        run.__name__ = f.__name__
+        run.__doc__ = f.__doc__
+        QUERIES[f.__name__] = run
         if sql:
             ORACLES[f.__name__] = sql
         return f
@@ -21,23 +28,4 @@ def query(sql: str | None = None):
     return add
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-@query("""select l_returnflag, l_linestatus, round(sum(l_quantity), 2) sum_qty, round(sum(l_extendedprice), 2) sum_base_price,
-    round(sum(l_extendedprice * (1 - l_discount)), 2) sum_disc_price, round(avg(l_quantity), 4) avg_qty, count(*) count_order
-    from lineitem where l_shipdate <= timestamp '1998-09-02' group by all order by all""")
-def pricing_summary(spark, d):
-    li = table(spark, d, "lineitem").filter(F.col("l_shipdate") <= F.lit("1998-09-02").cast("timestamp_ntz"))
-    return (
-        li.groupBy("l_returnflag", "l_linestatus")
-        .agg(
-            F.round(F.sum("l_quantity"), 2).alias("sum_qty"),
-            F.round(F.sum("l_extendedprice"), 2).alias("sum_base_price"),
-            F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("sum_disc_price"),
-            F.round(F.avg("l_quantity"), 4).alias("avg_qty"),
-            F.count(F.lit(1)).alias("count_order"),
-        )
-        .orderBy("l_returnflag", "l_linestatus")
-    )
+from . import function_queries, relational_queries, table_queries  # noqa: E402, F401
