@@ -13,9 +13,9 @@ from .relational_queries import t
     substring(p_name, 2, 4) sub, ascii(p_name) code, position('a' in p_name) pos, repeat('ab', 2) rr, trim('  x ') tr, translate(p_brand, 'Bd', 'XY') tl, ends_with(p_brand, '1') ew from part""")
 def string_functions(spark, d):
     return t(spark, d, "part").select(
-        "p_partkey", S.upper("p_name").alias("up"), S.lower("p_brand").alias("lo"), S.length("p_name").alias("len"), S.left("p_name", 3).alias("l3"), S.right("p_name", 2).alias("r2"), S.reverse("p_brand").alias("rev"),
+        "p_partkey", S.upper("p_name").alias("up"), S.lower("p_brand").alias("lo"), S.length("p_name").cast("long").alias("len"), S.left("p_name", 3).alias("l3"), S.right("p_name", 2).alias("r2"), S.reverse("p_brand").alias("rev"),
         S.lpad("p_brand", 12, "*").alias("lp"), S.rpad("p_brand", 12, "-").alias("rp"), S.concat_ws("/", "p_name", "p_brand").alias("cat"), S.replace("p_type", "A", "x").alias("rep"), S.contains("p_name", "a").alias("has"), S.startswith("p_brand", "Brand").alias("sw"),
-        S.substring("p_name", 2, 4).alias("sub"), S.ascii("p_name").alias("code"), S.charindex("a", "p_name").alias("pos"), S.repeat(F.lit("ab"), 2).alias("rr"), S.trim(F.lit("  x ")).alias("tr"), S.translate("p_brand", "Bd", "XY").alias("tl"), S.endswith("p_brand", "1").alias("ew"),
+        S.substring("p_name", 2, 4).alias("sub"), S.ascii("p_name").alias("code"), S.charindex("a", "p_name").cast("long").alias("pos"), S.repeat(F.lit("ab"), 2).alias("rr"), S.trim(F.lit("  x ")).alias("tr"), S.translate("p_brand", "Bd", "XY").alias("tl"), S.endswith("p_brand", "1").alias("ew"),
     )
 
 

@@ -139,7 +139,9 @@ class FileFrame(Frame):
         rows = FrameReader(spark, opts, self.reader._schema)._reload(self) if options else self
         df = rows.df.withColumn("_file", F.col("_metadata.file_path"))
         if not spark.catalog.tableExists(LOADS):
-            spark.createDataFrame([], "target string, file string").write.saveAsTable(LOADS, format="parquet", mode="ignore")
+            # at a fixed place, so that a later session of the same warehouse finds it
+            place = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_{LOADS}"
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {LOADS} (target string, file string) USING parquet LOCATION '{place}'")
         done = spark.table(LOADS).filter(F.col("target") == table).select(F.col("file").alias("_file"))
         if not str(opts.get("FORCE", False)).lower() == "true":
             df = df.join(done.distinct(), "_file", "left_anti")
