@@ -5,6 +5,7 @@ Arguments are columns or names of columns; literals may stand where the paramete
 
 from .aggregates import *  # noqa: F403
 from .arrays import *  # noqa: F403
+from .column_ops import *  # noqa: F403
 from .context import *  # noqa: F403
 from .core import *  # noqa: F403
 from .datetimes import *  # noqa: F403

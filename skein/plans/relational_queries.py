@@ -276,3 +276,43 @@ def sample_rows(spark, d):
 @query()
 def sample_by(spark, d):
     return t(spark, d, "events").stat.sampleBy("event_type", {"click": 0.5, "view": 0.1}).select("event_id", "event_type")
+
+
+@query("select n_name a, n_regionkey b from nation union all by name select r_regionkey b, r_name a from region")
+def union_all_by_name(spark, d):
+    n = t(spark, d, "nation").select(F.col("n_name").alias("a"), F.col("n_regionkey").alias("b"))
+    return n.unionAllByName(t(spark, d, "region").select(F.col("r_regionkey").alias("b"), F.col("r_name").alias("a")))
+
+
+@query("select c_mktsegment, count(*) n, sum(c_custkey)::bigint s from customer group by 1")
+def cached_result(spark, d):
+    c = t(spark, d, "customer").select("c_mktsegment", "c_custkey").cacheResult()
+    return c.groupBy("c_mktsegment").agg(S.count("*").alias("n"), S.sum("c_custkey").alias("s"))
+
+
+@query("select c_custkey, not (c_acctbal > 0) neg, (c_custkey & 6) b, (c_custkey | 1) o, xor(c_custkey, 5::bigint) x, c_acctbal between 0 and 100 m, c_custkey + 1 p, c_custkey % 7 r from customer")
+def column_operators(spark, d):
+    k = "c_custkey"
+    return t(spark, d, "customer").select(k, S.not_(S.gt("c_acctbal", 0)).alias("neg"), S.bitand(k, F.lit(6).cast("long")).alias("b"), S.bitor(k, F.lit(1).cast("long")).alias("o"), S.bitxor(k, F.lit(5).cast("long")).alias("x"), S.between("c_acctbal", 0, 100).alias("m"), S.plus(k, 1).alias("p"), S.mod(k, 7).alias("r"))
+
+
+@query("select o_orderpriority, quantile_cont(o_totalprice, 0.5) m from orders group by 1")
+def ordered_set_aggregate(spark, d):
+    return t(spark, d, "orders").groupBy("o_orderpriority").agg(S.within_group("percentile_cont", "0.5", order_by="o_totalprice").alias("m"))
+
+
+@query("select o_orderkey, o_orderdate from orders order by o_orderdate nulls first, o_orderkey desc limit 25")
+def sort_null_order(spark, d):
+    return t(spark, d, "orders").select("o_orderkey", "o_orderdate").sort(S.asc_nulls_first("o_orderdate"), S.desc_nulls_last("o_orderkey")).limit(25)
+
+
+@query("select n_nationkey, n_name from nation where n_nationkey >= 0")
+def random_split_union(spark, d):
+    a, b = t(spark, d, "nation").select("n_nationkey", "n_name").randomSplit([0.3, 0.7], 5)
+    return a.unionAll(b)
+
+
+@query("select * from (select quantile_cont(o_totalprice, 0.5) > 0 positive from orders)")
+def approx_quantile(spark, d):
+    found = t(spark, d, "orders").stat.approxQuantile("o_totalprice", [0.25, 0.5])
+    return spark.createDataFrame([(found[1] > 0,)], "positive boolean")

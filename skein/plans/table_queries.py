@@ -168,3 +168,34 @@ def procedure_call(spark, d):
 def sql_text(spark, d):
     t(spark, d, "customer").createOrReplaceTempView("q_customer")
     return Session(spark).sql("select c_custkey from q_customer where c_nationkey = ? and c_acctbal > ?", [3, 10])
+
+
+@query("select count(*) n from orders where o_orderstatus = 'F'")
+def async_count(spark, d):
+    job = t(spark, d, "orders").filter("o_orderstatus = 'F'").async_.count()
+    return spark.createDataFrame([(job.getResult(600),)], "n long")
+
+
+@query("select n_nationkey from nation where n_regionkey = 2")
+def view_over_table(spark, d):
+    n, view = copy_of(spark, d, "nation"), f"q_view_{uuid.uuid4().hex[:8]}"
+    Session(spark).sql(f"select n_nationkey from {n.name} where n_regionkey = 2").createOrReplaceView(view)
+    return Session(spark).table(view)
+
+
+@query("select r_regionkey, r_name from region where r_regionkey > 1 union all select r_regionkey, r_name from region where r_regionkey > 1")
+def save_modes(spark, d):
+    target, r = f"q_modes_{uuid.uuid4().hex[:8]}", t(spark, d, "region")
+    r.write.saveAsTable(target)
+    r.filter("r_regionkey > 1").write.mode("overwrite").saveAsTable(target)
+    r.filter("r_regionkey > 1").write.option("COLUMNORDER", "name").saveAsTable(target)
+    r.write.mode("ignore").saveAsTable(target)
+    return Session(spark).table(target)
+
+
+@query("select r_regionkey k, r_name v from region")
+def xml_variant(spark, d):
+    path = folder(spark, "xml")
+    t(spark, d, "region").df.write.option("rowTag", "row").xml(path)
+    x = Session(spark).read.option("ROW_TAG", "row").xml(path)
+    return x.select(F.variant_get("$1", "$.r_regionkey", "int").alias("k"), F.variant_get("$1", "$.r_name", "string").alias("v"))

@@ -190,3 +190,15 @@ def test_every_name_is_there():
     as_number as_double as_real as_integer as_object as_time as_timestamp_ltz as_timestamp_ntz as_timestamp_tz to_json to_object to_variant to_xml
     get get_ignore_case xmlget get_path chr""".split()
     assert [n for n in names if not hasattr(S, n)] == []
+
+
+def test_window_bounds_and_column_names():
+    from skein.operators.windows import Window
+
+    assert Window.rowsBetween(Window.unboundedPreceding, 5) is not None
+    with pytest.raises(ValueError):
+        Window.rowsBetween(0, 2**31)
+
+
+def test_column_names(spark):
+    assert S.get_name(F.col("a")) == "a" and S.get_name((F.col("a") + 1).alias("b")) == "b" and S.get_name(F.col("a") + 1) is None
