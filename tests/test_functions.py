@@ -192,7 +192,7 @@ def test_every_name_is_there():
     assert [n for n in names if not hasattr(S, n)] == []
 
 
-def test_window_bounds_and_column_names():
+def test_window_bounds(spark):
     from skein.operators.windows import Window
 
     assert Window.rowsBetween(Window.unboundedPreceding, 5) is not None
