@@ -16,13 +16,16 @@ from .common import Workspace, components, small
 COSINE = 0.9
 #: Pivots come from a bounded sample; they only steer the partitioning, the join is exact for any pivots.
 PIVOT_SAMPLE = 2048
-BLOCK = 2048
+BLOCK = 4096
 EPS = 1e-7
+#: Single precision decides where it lies further than this from the threshold; the rest is computed in double.
+DOUBT = 1e-4
 
 
-def _unit(raw: list[bytes]) -> np.ndarray:
-    """float64 vectors as bytes to unit rows."""
-    m = np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1)
+def _unit(raw: list[bytes], dim: int) -> np.ndarray:
+    """Vectors as bytes of 4 or 8 for each number to unit rows in double precision."""
+    kind = np.float32 if len(raw[0]) == 4 * dim else np.float64
+    m = np.frombuffer(b"".join(raw), kind).reshape(len(raw), dim).astype(np.float64)
     m = m / np.abs(m).max(axis=1, keepdims=True)
     return m / np.sqrt((m * m).sum(axis=1, keepdims=True))
 
@@ -30,13 +33,15 @@ def _unit(raw: list[bytes]) -> np.ndarray:
 def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Valid vectors alone, as bytes, with their length and a fingerprint."""
     for b in batches:
+        column = b.column("_vec")
+        kind = np.float32 if column.type.value_type == pa.float32() else np.float64
         ids, dims, prints, raw = [], [], [], []
-        for i, v in zip(b.column("_id").to_pylist(), b.column("_vec").to_pylist(), strict=True):
+        for i, v in zip(b.column("_id").to_pylist(), column.to_pylist(), strict=True):
             if i is None or not v or None in v:
                 continue
-            x = np.array(v, np.float64)
+            x = np.array(v, kind)
             if np.isfinite(x).all() and x.any():
-                x = x + 0.0  # one zero
+                x = x + kind(0)  # one zero
                 ids.append(i)
                 dims.append(len(x))
                 raw.append(x.tobytes())
@@ -44,14 +49,13 @@ def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(prints, pa.binary()), pa.array(raw, pa.binary())], ["_id", "_dim", "_print", "_raw"])
 
 
-def _spread(raw: list[bytes], apart: float) -> np.ndarray:
-    """Of the sampled vectors, in order, those further than `apart` from all chosen before."""
-    m, chosen = _unit(raw), []
-    far = np.full(len(m), np.inf)
-    for i in range(len(m)):
-        if far[i] > apart:
-            chosen.append(i)
-            far = np.minimum(far, np.arccos(np.clip(m @ m[i], -1, 1)))
+def _spread(m: np.ndarray, most: int, apart: float) -> np.ndarray:
+    """Farthest-first: up to `most` of the sampled vectors, each as far as can be from those before, but none
+    within `apart` of another."""
+    chosen, far = [0], np.arccos(np.clip(m @ m[0], -1, 1))
+    while len(chosen) < most and far.max() > apart:
+        chosen.append(int(far.argmax()))
+        far = np.minimum(far, np.arccos(np.clip(m @ m[chosen[-1]], -1, 1)))
     return m[chosen]
 
 
@@ -65,15 +69,17 @@ def _placer(pivots: dict[int, np.ndarray], reach: float, radii: dict[tuple[int,
                 part = b.filter(pa.array(dims == d))
                 for at in range(0, part.num_rows, 4096):
                     rows = part.slice(at, 4096)
-                    angle = np.arccos(np.clip(_unit(rows.column("_raw").to_pylist()) @ pivots[int(d)].T, -1, 1))
+                    angle = np.arccos(np.clip(_unit(rows.column("_raw").to_pylist(), int(d)) @ pivots[int(d)].T, -1, 1))
                     home = angle.argmin(axis=1)
                     nearest = angle[np.arange(len(home)), home]
                     if radii is None:
                         yield pa.RecordBatch.from_arrays([rows.column("_rep"), rows.column("_dim"), pa.array(home.astype(np.int32)), pa.array(nearest)], ["_rep", "_dim", "_cell", "_angle"])
                         continue
-                    wide = np.array([radii.get((int(d), c), -np.inf) for c in range(angle.shape[1])])
-                    # v at home in c within reach of u: angle(u, c) <= angle(u, home of u) + 2 reach, and <= radius of c + reach
-                    present = (angle <= nearest[:, None] + 2 * reach + EPS) & (angle <= wide + reach + EPS)
+                    cells = np.arange(angle.shape[1])
+                    wide = np.array([radii.get((int(d), int(c)), -np.inf) for c in cells])
+                    # v at home in c within reach of u: angle(u, c) <= angle(u, home of u) + 2 reach, and <= radius of c
+                    # + reach. Of the homes of a pair the one with the smaller number joins it.
+                    present = (angle <= nearest[:, None] + 2 * reach + EPS) & (angle <= wide + reach + EPS) & (cells < home[:, None])
                     present[np.arange(len(home)), home] = True
                     who, cell = np.nonzero(present)
                     out = rows.take(pa.array(who))
@@ -82,25 +88,47 @@ def _placer(pivots: dict[int, np.ndarray], reach: float, radii: dict[tuple[int,
     return place
 
 
+def _near(a: np.ndarray, b: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of rows with a product of at least `least` in double precision, by row of a."""
+    a32, b32, left, right = a.astype(np.float32), b.astype(np.float32), [], []
+    for at in range(0, len(a), 1024):
+        sim = a32[at : at + 1024] @ b32.T
+        i, j = np.nonzero(sim >= least - DOUBT)
+        sure = sim[i, j] > least + DOUBT
+        for k in range(0, len(doubt := np.flatnonzero(~sure)), 65536):
+            d = doubt[k : k + 65536]
+            sure[d] = (a[at + i[d]] * b[j[d]]).sum(axis=1) >= least
+        left.append(at + i[sure])
+        right.append(j[sure])
+    return np.concatenate(left), np.concatenate(right)
+
+
 def _block(least: float):
     def join(table: pa.Table) -> pa.Table:
-        """Of one pair of blocks: links of each home vector, and each linked vector's smallest reachable one."""
-        left = table.column("_side").to_numpy() == 0
-        a, b = table.filter(pa.array(left)), table.filter(pa.array(~left))
-        out = {"_rep": [], "_links": [], "_root": []}
+        """Of one pair of blocks: how many vectors each one links with, and the smallest id that it reaches here."""
+        side, dim = table.column("_side").to_numpy(), table.column("_dim")
+        a, b = table.filter(pa.array(side == 0)), table.filter(pa.array(side == 1))
+        ids, links, roots = (np.empty(0, np.int64) for _ in range(3))
         if a.num_rows and b.num_rows:
-            ia, ib, nb = a.column("_rep").to_numpy(), b.column("_rep").to_numpy(), b.column("_n").to_numpy()
-            near = (_unit(a.column("_raw").to_pylist()) @ _unit(b.column("_raw").to_pylist()).T >= least) & (ia[:, None] != ib[None, :])
-            ra, rb, was = ia.copy(), ib.copy(), -1
-            top = np.iinfo(np.int64).max
-            while (now := int(ra.astype(object).sum() + rb.astype(object).sum())) != was:
-                was = now
-                rb = np.minimum(rb, np.where(near, ra[:, None], top).min(axis=0))
-                ra = np.minimum(ra, np.where(near, rb[None, :], top).min(axis=1))
-            out = {"_rep": np.concatenate([ia, ib]), "_links": np.concatenate([near @ nb, np.zeros(len(ib), np.int64)]), "_root": np.concatenate([ra, rb])}
-            use = (out["_links"] > 0) | (out["_root"] != out["_rep"])
-            out = {k: v[use] for k, v in out.items()}
-        return pa.table({k: pa.array(v, pa.int64()) for k, v in out.items()})
+            d = dim[0].as_py()
+            ia, ib = a.column("_rep").to_numpy(), b.column("_rep").to_numpy()
+            na, nb, at_home = a.column("_n").to_numpy(), b.column("_n").to_numpy(), b.column("_home").to_numpy()
+            i, j = _near(_unit(a.column("_raw").to_pylist(), d), _unit(b.column("_raw").to_pylist(), d), least)
+            other = ia[i] != ib[j]
+            i, j = i[other], j[other]
+            ids, links = np.concatenate([ia, ib]), np.zeros(len(ia) + len(ib), np.int64)
+            np.add.at(links, i, nb[j])
+            # a pair of two homes comes up a second time with the sides changed; a guest is counted here alone
+            guest = ~at_home[j]
+            np.add.at(links, len(ia) + j[guest], na[i[guest]])
+            roots, was = ids.copy(), None
+            while was is None or (roots != was).any():
+                was = roots.copy()
+                np.minimum.at(roots, len(ia) + j, roots[i])
+                np.minimum.at(roots, i, roots[len(ia) + j])
+            use = (links > 0) | (roots != ids)
+            ids, links, roots = ids[use], links[use], roots[use]
+        return pa.table({"_rep": pa.array(ids, pa.int64()), "_links": pa.array(links, pa.int64()), "_root": pa.array(roots, pa.int64())})
 
     return join
 
@@ -109,12 +137,12 @@ def vector_links(ws: Workspace, vectors: DataFrame, id_col: str = "vec_id", vec_
     """(vec_id, n_links, component_id, kept) of every vector, by cosine >= `cosine` in double precision.
 
     1. Equal vectors collapse into their smallest id with a count.
-    2. Pivots at least twice the search angle apart, from a bounded sample, split the unit sphere into cells: a
-       vector is at home at its nearest pivot. By the triangle inequality two vectors within the angle r meet in a cell
-       if each is also present wherever its angle to the pivot is at most its nearest one plus 2 r, and at most
-       the cell's radius plus r.
-    3. Cells join independently. A cell is cut into blocks of 2048 vectors and each pair of a home block and a
-       present block is a task of bounded size, so a cell with a third of all vectors spreads over many tasks.
+    2. Pivots, one for each 4096 vectors at most, farthest first from a bounded sample and more than twice the search
+       angle apart, split the unit sphere into cells: a vector is at home at its nearest pivot. By the triangle
+       inequality two vectors within the angle r meet in the cells of both if each is also present wherever its
+       angle to the pivot is at most its nearest one plus 2 r, and at most the cell's radius plus r.
+    3. Cells join independently. A cell is cut into blocks of 4096 vectors and each pair of a home block and a
+       present block is joined alone, in bounded memory, so a cell with a third of all vectors spreads over many tasks.
     4. A task returns link counts and one edge to the smallest id for each vector, never the pairs.
 
     A vector that is null, empty, zero, or holds a null or non-finite number links with nothing, as does a null id
@@ -127,13 +155,13 @@ def vector_links(ws: Workspace, vectors: DataFrame, id_col: str = "vec_id", vec_
     reps = valid.join(classes.withColumnRenamed("_print", "_p"), (F.col("_id") == F.col("_rep")) & (F.col("_print") == F.col("_p"))).select("_rep", "_dim", "_n", "_raw").dropDuplicates(["_rep", "_raw"])
     reps = ws.put("reps", reps)
     reach = math.acos(cosine)
+    cells = -(-reps.count() // BLOCK)
     sample: dict[int, list[bytes]] = {}
     for r in reps.select("_dim", "_raw").orderBy(F.xxhash64("_rep"), "_rep").limit(PIVOT_SAMPLE).collect():
         sample.setdefault(r["_dim"], []).append(bytes(r["_raw"]))
-    pivots = {d: _spread(raw, 2 * reach) for d, raw in sample.items()}
     for r in reps.groupBy("_dim").agg(F.min("_raw").alias("_raw")).collect():  # a length that the sample lacks
-        if r["_dim"] not in pivots:
-            pivots[r["_dim"]] = _unit([bytes(r["_raw"])])
+        sample.setdefault(r["_dim"], [bytes(r["_raw"])])
+    pivots = {d: _spread(_unit(raw, d), cells, 2 * reach) for d, raw in sample.items()}
 
     homes = reps.mapInArrow(_placer(pivots, reach, None), "_rep long, _dim int, _cell int, _angle double")
     found = homes.groupBy("_dim", "_cell").agg(F.max("_angle").alias("_radius"), F.count(F.lit(1)).alias("_h")).collect()  # one row for each pivot
@@ -144,7 +172,7 @@ def vector_links(ws: Workspace, vectors: DataFrame, id_col: str = "vec_id", vec_
     mix = F.xxhash64("_rep")
     left = sized.filter("_home").withColumns({"_i": F.pmod(mix, F.col("_hb")).cast("int"), "_j": F.explode(F.sequence(F.lit(0), F.col("_pb") - 1)), "_side": F.lit(0)})
     right = sized.withColumns({"_j": F.pmod(mix, F.col("_pb")).cast("int"), "_i": F.explode(F.sequence(F.lit(0), F.greatest(F.col("_hb"), F.lit(1)) - 1)), "_side": F.lit(1)})
-    columns = ["_dim", "_cell", "_i", "_j", "_side", "_rep", "_n", "_raw"]
+    columns = ["_dim", "_cell", "_i", "_j", "_side", "_home", "_rep", "_n", "_raw"]
     joined = left.select(columns).unionByName(right.select(columns)).groupBy("_dim", "_cell", "_i", "_j").applyInArrow(_block(cosine), "_rep long, _links long, _root long")
     joined = ws.put("joined", joined)
     ws.drop("present")
