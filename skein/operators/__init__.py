@@ -1,0 +1 @@
+"""Frames and what can be done with them."""

@@ -1,0 +1 @@
+"""The reference has no streams, so this package is empty on purpose."""
