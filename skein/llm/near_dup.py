@@ -69,8 +69,8 @@ def band_keys(registers: np.ndarray) -> np.ndarray:
     return key
 
 
-def likely(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray, threshold: float = PERCENT / 100) -> np.ndarray:
-    """True where the joint maximum-likelihood estimate doesn't rule the threshold out.
+def likely(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray, threshold: float = PERCENT / 100) -> tuple[np.ndarray, np.ndarray]:
+    """Where the joint maximum-likelihood estimate doesn't rule the threshold out, and the estimate.
 
     With u, v the shares of the two known set sizes, a register of the first set is larger with probability
     p(u - v J), smaller with p(v - u J), p(x) = -log_base(1 - x (base - 1) / base). The log-likelihood is concave
@@ -93,7 +93,7 @@ def likely(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray, thres
         better = value > top
         best[better], top[better] = j[better], value[better]
     error = math.sqrt(threshold * (1 - threshold) / ra.shape[1])
-    return (most >= threshold) & (best >= threshold - MARGIN * error - 0.01)
+    return (most >= threshold) & (best >= threshold - MARGIN * error - 0.01), best
 
 
 def _rows(column) -> np.ndarray:
@@ -118,17 +118,19 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = b.slice(at, 1000)
             keys = band_keys(_rows(part.column("_sketch"))).astype(np.int64)
             rows = {"_key": pa.array(keys.ravel())}
-            for name in ("_rep", "_label", "_n"):
+            for name in ("_rep", "_label"):
                 rows[name] = pa.array(np.repeat(part.column(name).to_numpy(zero_copy_only=False).astype(np.int64), keys.shape[1]))
             yield pa.RecordBatch.from_pydict(rows)
 
 
 def _likely_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
+        estimate = pa.array([], pa.float64())
         if b.num_rows:
             size = [b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("_na", "_nb")]
-            b = b.filter(pa.array(likely(_rows(b.column("_sa")), _rows(b.column("_sb")), *size)))
-        yield b.select(["_a", "_b"])
+            keep, best = likely(_rows(b.column("_sa")), _rows(b.column("_sb")), *size)
+            b, estimate = b.filter(pa.array(keep)), pa.array(best[keep])
+        yield pa.RecordBatch.from_arrays([b.column("_a"), b.column("_b"), estimate], ["_a", "_b", "_estimate"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,24 +143,98 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = []
         for x, y in zip(b.column("_xa"), b.column("_xb"), strict=True):
             x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+            keep.append(_alike(x, y))
         yield b.filter(pa.array(keep, pa.bool_())).select(["_a", "_b"])
 
 
-def _confirm(ws: Workspace, name: str, pairs: DataFrame, reps: DataFrame, texts: DataFrame, best_only: bool) -> DataFrame:
-    """The pairs that pass the estimate and then the exact check on whole sets."""
+def _alike(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
+def _blocks_joined(key: tuple, table: pa.Table) -> pa.Table:
+    """Links between components in one pair of blocks: pairs that share a band, pass the estimate and then the exact
+    check on whole sets. Once two components are linked here, their other pairs needn't be tried."""
+    same = key[1].as_py() == key[2].as_py()
+    rep, label, block = (table.column(c).to_numpy() for c in ("_rep", "_label", "_block"))
+    sketches, sets = _rows(table.column("_sketch").combine_chunks()), [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("_set")]
+    size, keys = np.array([len(x) for x in sets], float), band_keys(sketches)
+    codes = []
+    for band in range(keys.shape[1]):
+        order = np.argsort(keys[:, band], kind="stable")
+        edges = np.flatnonzero(np.diff(keys[order, band])) + 1
+        for run in np.split(order, edges):
+            if len(run) > 1 and len(np.unique(label[run])) > 1:
+                i, j = (run[k] for k in np.triu_indices(len(run), 1))
+                i, j = np.minimum(i, j), np.maximum(i, j)
+                use = (label[i] != label[j]) & (same | (block[i] != block[j]))
+                codes.append(np.unique(i[use] * len(rep) + j[use]))
+    links = []
+    if codes:
+        i, j = np.divmod(np.unique(np.concatenate(codes)), len(rep))
+        parent = {x: x for x in label.tolist()}
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        for at in range(0, len(i), 20_000):
+            a, b = i[at : at + 20_000], j[at : at + 20_000]
+            keep, best = likely(sketches[a], sketches[b], size[a], size[b])
+            for k in np.argsort(-best, kind="stable"):
+                if keep[k]:
+                    x, y = find(int(label[a[k]])), find(int(label[b[k]]))
+                    if x != y and _alike(sets[a[k]], sets[b[k]]):
+                        parent[max(x, y)] = min(x, y)
+                        links.append((int(rep[a[k]]), int(rep[b[k]])))
+    return pa.table({"_a": pa.array([x for x, _ in links], pa.int64()), "_b": pa.array([y for _, y in links], pa.int64())})
+
+
+def _confirm(ws: Workspace, pairs: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """For each text its likeliest pair, if that passes the estimate and then the exact check on whole sets."""
     side = lambda x: reps.select(F.col("_rep").alias(f"_{x}"), F.col("_n").alias(f"_n{x}"), F.col("_sketch").alias(f"_s{x}"))
     near = pairs.hint("merge").join(side("a"), "_a").join(side("b").hint("merge"), "_b").filter((F.col("_na") * 100 >= F.col("_nb") * PERCENT) & (F.col("_nb") * 100 >= F.col("_na") * PERCENT))
-    near = near.mapInArrow(_likely_pairs, "_a long, _b long")
-    if best_only:
-        near = near.groupBy("_a").agg(F.min("_b").alias("_b"))
-    near = ws.put(f"{name}_near", near)
-    needed = ws.put(f"{name}_needed", near.select(F.explode(F.array("_a", "_b")).alias("_id")).distinct())
-    sets = ws.put(f"{name}_sets", texts.join(small(needed, 16), "_id", "left_semi").mapInArrow(_sets, "_id long, _set binary"))
+    near = near.mapInArrow(_likely_pairs, "_a long, _b long, _estimate double").groupBy("_a").agg(F.max_by("_b", "_estimate").alias("_b"))
+    near = ws.put("near", near)
+    sets = _sets_of(ws, "star_sets", near.select("_a").unionByName(near.select(F.col("_b").alias("_a"))).distinct(), texts)
     a, b = (sets.select(F.col("_id").alias(f"_{x}"), F.col("_set").alias(f"_x{x}")) for x in "ab")
-    links = ws.put(f"{name}_links", near.hint("merge").join(a, "_a").join(b.hint("merge"), "_b").mapInArrow(_verified, "_a long, _b long"))
-    ws.drop(f"{name}_near", f"{name}_needed", f"{name}_sets")
+    links = ws.put("star_links", near.hint("merge").join(a, "_a").join(b.hint("merge"), "_b").mapInArrow(_verified, "_a long, _b long"))
+    ws.drop("near", "star_sets")
+    return links
+
+
+def _sets_of(ws: Workspace, name: str, ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """(_id, _set) of the texts with these ids (a column of any name)."""
+    needed = ws.put(f"{name}_ids", ids.toDF("_id"))
+    sets = ws.put(name, texts.join(small(needed, 16), "_id", "left_semi").mapInArrow(_sets, "_id long, _set binary"))
+    ws.drop(f"{name}_ids")
+    return sets
+
+
+#: A block of the last step holds about so many texts, or so many shingles if they are long.
+BLOCK_TEXTS, BLOCK_SHINGLES = 512, 2_000_000
+
+
+def _between(ws: Workspace, labelled: DataFrame, members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between components that share buckets.
+
+    Texts that share mixed buckets, directly or through others, form a cluster. A cluster is cut into blocks, and each
+    pair of blocks is joined in one task of bounded size; pairs never leave the task, only links do.
+    """
+    hubs = members.groupBy("_key").agg(F.min("_rep").alias("_hub"))
+    clusters = components(ws, "cl", members.join(ws.put("hubs", hubs), "_key").select(F.col("_rep").alias("a"), F.col("_hub").alias("b")).distinct())
+    # components() names all but the smallest of a cluster
+    named = ws.put("clusters", clusters.unionByName(clusters.select(F.col("label").alias("node"), "label").distinct()))
+    sets = _sets_of(ws, "rest_sets", named.select("node"), texts)
+    rows = named.hint("merge").join(labelled.select(F.col("_rep").alias("node"), "_label", "_n", "_sketch"), "node").join(sets.withColumnRenamed("_id", "node").dropDuplicates(["node"]).hint("merge"), "node")
+    counts = named.hint("merge").join(labelled.select(F.col("_rep").alias("node"), "_n"), "node").groupBy("label")
+    counts = ws.put("blocks", counts.agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum("_n") / BLOCK_SHINGLES)).cast("int").alias("_blocks")))
+    placed = rows.join(counts, "label").withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+    pairs = placed.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    pairs = pairs.select("label", F.least("_block", "_with").alias("_i"), F.greatest("_block", "_with").alias("_j"), F.col("node").alias("_rep"), "_label", "_block", "_sketch", "_set")
+    links = ws.put("rest_links", pairs.groupBy("label", "_i", "_j").applyInArrow(_blocks_joined, "_a long, _b long"))
+    ws.drop("hubs", "clusters", "rest_sets", "blocks")
     return links
 
 
@@ -167,11 +243,11 @@ def near_duplicates(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text
 
     1. Every text becomes a set, a fingerprint and 190 registers. Equal sets collapse into their smallest id.
     2. 38 bands of 5 registers give bucket keys; a pair at 0.8 shares none with probability (1 - 0.8^5)^38, 3e-7.
-    3. Each member of a bucket is paired with the bucket's smallest id. Pairs that the likelihood estimate
-       doesn't rule out (5.5 standard errors) are verified on whole sets: one link for each text.
-    4. Buckets that still hold several components: members outside the largest one are paired with all that
-       are in other components, estimated and verified. So every pair of a bucket is either inside one
-       component or verified, and a group of n copies costs n pairs instead of n * n.
+    3. Each member of a bucket is paired with the bucket's smallest id. Of the pairs that the likelihood estimate
+       doesn't rule out (5.5 standard errors) each text's likeliest is verified on whole sets.
+    4. Buckets that still hold several components: their texts are joined block by block inside tasks, where
+       pairs of different components that share a band are estimated and verified. So every pair of a bucket
+       lies inside one component or is verified, and copies that step 3 has linked cost nothing more.
 
     A null or blank text has an empty set and is linked with nothing. A null id is linked with nothing: component null, kept
     true. Rows that share an id are one document if their sets are equal; each is returned. Other
@@ -183,33 +259,23 @@ def near_duplicates(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text
     classes = ws.put("classes", known.groupBy("_print").agg(F.min("_id").alias("_rep")))
     first = classes.select(F.col("_rep").alias("_id"), "_print")
     reps = ws.put("reps", known.join(first.hint("merge"), ["_id", "_print"], "left_semi").select(F.col("_id").alias("_rep"), "_n", "_sketch").dropDuplicates(["_rep"]))
-    banded = "_key long, _rep long, _label long, _n long"
 
-    bands = reps.withColumn("_label", F.col("_rep")).mapInArrow(_bands, banded).select("_key", "_rep")
+    bands = reps.withColumn("_label", F.col("_rep")).mapInArrow(_bands, "_key long, _rep long, _label long").select("_key", "_rep")
     hubs = ws.put("hubs", bands.groupBy("_key").agg(F.min("_rep").alias("_hub"), F.max("_rep").alias("_last")).filter("_hub < _last").drop("_last"))
     stars = ws.put("stars", bands.join(hubs.hint("merge"), "_key").filter("_rep <> _hub").select(F.col("_rep").alias("_a"), F.col("_hub").alias("_b")).distinct())
     ws.drop("hubs")
-    links = _confirm(ws, "star", stars, reps, texts, best_only=True)
+    links = _confirm(ws, stars, reps, texts)
     ws.drop("stars")
     labels = ws.put("labels", components(ws, "cc", links.select(F.col("_a").alias("a"), F.col("_b").alias("b"))))
 
-    labelled = reps.join(labels.hint("merge"), F.col("_rep") == F.col("node"), "left").withColumn("_label", F.coalesce("label", "_rep"))
-    bands = labelled.select("_rep", "_label", "_n", "_sketch").mapInArrow(_bands, banded)
+    labelled = reps.join(labels.hint("merge"), F.col("_rep") == F.col("node"), "left").select("_rep", F.coalesce("label", "_rep").alias("_label"), "_n", "_sketch")
+    bands = labelled.mapInArrow(_bands, "_key long, _rep long, _label long")
     mixed = ws.put("mixed", bands.groupBy("_key").agg(F.min("_label").alias("_x"), F.max("_label").alias("_y")).filter("_x < _y").select("_key"))
-    members = ws.put("members", bands.join(mixed, "_key"))
-    held = members.groupBy("_key", "_label").agg(F.count(F.lit(1)).alias("_c"))
-    major = held.groupBy("_key").agg(F.max(F.struct("_c", "_label")).alias("_m")).select("_key", F.col("_m._label").alias("_major"))
-    members = ws.put("members2", members.join(ws.put("major", major), "_key"))
-    minor = members.filter("_label <> _major").select("_key", F.col("_rep").alias("_a"), F.col("_label").alias("_la"), F.col("_n").alias("_pa"))
-    other = members.select("_key", F.col("_rep").alias("_b"), F.col("_label").alias("_lb"), F.col("_n").alias("_pb"), (F.col("_label") == F.col("_major")).alias("_big"))
-    close = (F.col("_pa") * 100 >= F.col("_pb") * PERCENT) & (F.col("_pb") * 100 >= F.col("_pa") * PERCENT)
-    rest = minor.join(other, "_key").filter((F.col("_la") != F.col("_lb")) & (F.col("_big") | (F.col("_a") < F.col("_b"))) & close)
-    rest = ws.put("rest", rest.select("_a", "_b").distinct())
-    ws.drop("mixed", "members", "major", "members2")
-    more = _confirm(ws, "rest", rest, reps, texts, best_only=False)
-    joined = links.unionByName(more).select(F.col("_a").alias("a"), F.col("_b").alias("b"))
-    labels = ws.put("labels2", components(ws, "cd", joined))
-    ws.drop("rest", "labels")
+    members = ws.put("members", bands.join(mixed.hint("merge"), "_key"))
+    more = _between(ws, labelled, members, texts)
+    ws.drop("mixed", "members")
+    labels = ws.put("labels2", components(ws, "cd", links.unionByName(more).select(F.col("_a").alias("a"), F.col("_b").alias("b"))))
+    ws.drop("labels")
 
     found = ws.put("found", classes.join(labels, F.col("_rep") == F.col("node"), "left").select(F.col("_print").alias("_p"), F.coalesce("label", "_rep").alias("_component")))
     out = all_sets.select("_id", "_n", "_print").join(found.hint("merge"), (F.col("_print") == F.col("_p")) & (F.col("_n") > 0) & F.col("_id").isNotNull(), "left")

@@ -305,7 +305,9 @@ def brute_groups(texts):
     return {i: (len(sets[i]), label[i]) for i in sets}
 
 
-def test_near_duplicates_match_brute_force(spark, ws):
+@pytest.mark.parametrize("block", [7, 512])
+def test_near_duplicates_match_brute_force(spark, ws, monkeypatch, block):
+    monkeypatch.setattr(near_dup, "BLOCK_TEXTS", block)
     r, texts = random.Random(9), []
     for g in range(25):
         base = words(r.randrange(30, 160), g)
@@ -330,7 +332,8 @@ def test_sketches_merge_and_estimate():
     part = both[: int(0.85 * len(both))]
     s = [near_dup.sketch(x)[None, :] for x in (a, b, both, part)]
     n = [np.array([len(x)], float) for x in (a, b, both, part)]
-    assert near_dup.likely(s[2], s[3], n[2], n[3])[0] and not near_dup.likely(s[0], s[1], n[0], n[1])[0]
+    assert near_dup.likely(s[2], s[3], n[2], n[3])[0][0] and not near_dup.likely(s[0], s[1], n[0], n[1])[0][0]
+    assert abs(near_dup.likely(s[2], s[3], n[2], n[3])[1][0] - 0.85) < 0.12
 
 
 # ---- 10
