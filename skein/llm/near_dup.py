@@ -69,8 +69,9 @@ def band_keys(registers: np.ndarray) -> np.ndarray:
     return key
 
 
-def likely(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray, threshold: float = PERCENT / 100) -> tuple[np.ndarray, np.ndarray]:
-    """Where the joint maximum-likelihood estimate doesn't rule the threshold out, and the estimate.
+def likely(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where neither the sizes nor the joint maximum-likelihood estimate rule the threshold out, and the estimate.
+    The sizes are compared in whole numbers: at 4 to 5 a set inside the other is exactly at the threshold.
 
     With u, v the shares of the two known set sizes, a register of the first set is larger with probability
     p(u - v J), smaller with p(v - u J), p(x) = -log_base(1 - x (base - 1) / base). The log-likelihood is concave
@@ -92,8 +93,9 @@ def likely(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray, thres
         value = above * np.log(up) + below * np.log(down) + same * np.log(np.maximum(1 - up - down, 1e-12))
         better = value > top
         best[better], top[better] = j[better], value[better]
+    threshold = PERCENT / 100
     error = math.sqrt(threshold * (1 - threshold) / ra.shape[1])
-    return (most >= threshold) & (best >= threshold - MARGIN * error - 0.01), best
+    return (100 * np.minimum(na, nb) >= PERCENT * np.maximum(na, nb)) & (best >= threshold - MARGIN * error - 0.01), best
 
 
 def _rows(column) -> np.ndarray:

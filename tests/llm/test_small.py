@@ -325,6 +325,19 @@ def test_near_duplicates_match_brute_force(spark, ws, monkeypatch, block):
     assert near_dup.near_duplicates(Workspace(spark, "e"), docs(spark, texts).limit(0)).count() == 0
 
 
+def test_sizes_exactly_at_the_threshold_link(spark, ws):
+    n = np.arange(1, 2001, dtype=float)
+    same = np.zeros((len(n), near_dup.REGISTERS), np.int16)
+    assert near_dup.likely(same, same, 4 * n, 5 * n)[0].all() and near_dup.likely(same, same, 5 * n, 4 * n)[0].all()
+    assert not near_dup.likely(same, same, 4 * n - 1, 5 * n)[0].any()
+    texts = []
+    for g in range(12):
+        w = [f"g{g}x{k}" for k in range(53)]
+        texts += [(g * 10 + g % 2, " ".join(w)), (g * 10 + 1 - g % 2, " ".join(w[:43])), (g * 10 + 2, " ".join(w[:42]))]  # 50, 40 and 39 shingles
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in near_dup.near_duplicates(ws, docs(spark, texts)).collect()}
+    assert got == brute_groups(texts) and all(got[g * 10 + 1][1] == g * 10 for g in range(12))
+
+
 def test_sketches_merge_and_estimate():
     a, b = near_dup.shingle_set(" ".join(words(900, 1))), near_dup.shingle_set(" ".join(words(900, 2)))
     both = np.unique(np.concatenate([a, b]))
