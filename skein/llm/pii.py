@@ -77,9 +77,13 @@ def _filled(shape: str, digits: str) -> str:
     return "".join(next(it) if c.isalnum() else c for c in shape)
 
 
+def _is_card(d: str) -> bool:
+    return 13 <= len(d) <= 19 and luhn(d[:-1]) == int(d[-1]) and len(set(d)) > 1
+
+
 def _card(s: str, key: bytes, back: bool) -> str | None:
     d = re.sub("[ -]", "", s)
-    if not 13 <= len(d) <= 19 or luhn(d[:-1]) != int(d[-1]) or len(set(d)) == 1:
+    if not _is_card(d):
         return None
     body = string(d[:-1], key, "card", back)
     return _filled(s, body + str(luhn(body)))
@@ -114,7 +118,7 @@ def _ssn(s: str, key: bytes, back: bool) -> str | None:
 
 def _phone(s: str, key: bytes, back: bool) -> str | None:
     """The country code stays; all other digits are permuted."""
-    lead = re.match(r"\+\d{1,3}(?=[ (.-])", s)
+    lead = re.match(r"\+\d{1,3}(?=[ (.-])", s) or _CALLING_CODE.match(s)
     head = lead[0] if lead else ""
     if not 7 <= len(re.sub(r"\D", "", s[len(head) :])) <= 14:
         return None
@@ -149,6 +153,22 @@ def _secret(s: str, key: bytes, back: bool) -> str:
     return string(s, key, "secret", back)
 
 
+#: Letters and digits of an IBAN by country.
+IBAN_LENGTHS = {
+    c: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for c in countries.split()
+}
+#: The groups in which cards are written, fewest digits first. One group of 13 to 19 digits is a card too.
+CARD_GROUPS = ((4, 4, 4, 1), (4, 6, 4), (4, 4, 4, 2), (4, 4, 4, 3), (4, 6, 5), (4, 4, 4, 4), (4, 4, 4, 4, 1), (4, 4, 4, 4, 2), (4, 4, 4, 4, 3))
+_CALLING_CODE = re.compile(r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})")
+#: Most digits with the country code: of numbering plans of one length, else of E.164.
+PHONE_DIGITS = {"+1": 11, "+7": 11, "+31": 11, "+33": 11, "+34": 11, "+41": 11, "+44": 12, "+45": 10, "+46": 11, "+47": 10, "+48": 11, "+61": 11, "+86": 13, "+91": 12, "+351": 12, "+420": 12}
+
 #: In the order in which they are tried at a place of the text.
 FORMATS = {
     "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", _email),
@@ -157,11 +177,122 @@ FORMATS = {
     "ip": (r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d.]*\d)", _ip),
     "date": (r"(?<![\d/.-])(?:\d{4}([-/.])\d{2}\1\d{2}|\d{2}([-/.])\d{2}\2\d{4})(?![\d/-]|\.\d)", _date),
     "ssn": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", _ssn),
+    "phone+": (r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,14}(?:[ .-]\d{2,14}){0,5}(?![\w-])", _phone),
     "card": (r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])", _card),
-    "phone": (r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])", _phone),
+    "phone": (r"(?<![\w+])(?:\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])", _phone),
 }
-_PATTERNS = [(kind, re.compile(p), f) for kind, (p, f) in FORMATS.items()]
+_PATTERNS = [(kind.rstrip("+"), re.compile(p), f) for kind, (p, f) in FORMATS.items()]
 _ANY_DIGIT_OR_AT = re.compile(r"[0-9@]")
+_OLD_IBAN = re.compile(FORMATS["iban"][0])
+#: Groups that stand side by side; the numbers in them are looked for from group to group.
+_RUNS = {"iban": re.compile(r"\b[A-Z0-9]+(?: [A-Z0-9]+)*\b"), "card": re.compile(r"\d+(?:[ -]\d+)*")}
+_GROUP = re.compile(r"[A-Z0-9]+")
+
+
+def _card_end(groups: list[str], i: int) -> int | None:
+    """Where a card that starts with group i ends."""
+    n = len(groups[i])
+    if n != 4:
+        return i + 1 if 13 <= n <= 19 and _is_card(groups[i]) else None
+    sizes = tuple(len(g) for g in groups[i : i + 5])
+    return next((i + len(c) for c in CARD_GROUPS if sizes[: len(c)] == c and _is_card("".join(groups[i : i + len(c)]))), None)
+
+
+def _iban_end(groups: list[str], i: int) -> int | None:
+    """Where an IBAN that starts with group i ends: at its country's length, else in groups of four at another."""
+    if not re.match(r"[A-Z]{2}\d{2}", groups[i]):
+        return None
+    ends, n = {}, 0
+    for j in range(i, len(groups)):
+        n += len(groups[j])
+        if n > 34:
+            break
+        ends[n] = j + 1
+    exact = IBAN_LENGTHS.get(groups[i][:2])
+    for n in [exact] * (exact in ends) + [n for n in ends if n != exact]:
+        part = groups[i : ends[n]]
+        if 15 <= n and mod97("".join(part)) == 1 and (n == exact or _OLD_IBAN.fullmatch(" ".join(part))):
+            return ends[n]
+    return None
+
+
+_ENDS = {"iban": (_iban_end, _iban, 9), "card": (_card_end, _card, 4)}
+
+
+def _in_runs(kind: str, text: str, taken: bytearray, key: bytes, back: bool) -> Iterator[tuple[int, int, str]]:
+    """Numbers in groups beside other groups: the first that validates from each group on.
+
+    A pseudonym that would validate together with the groups before it, and so couldn't be found again, is permuted once more.
+    """
+    end_of, change, reach = _ENDS[kind]
+    for run in _RUNS[kind].finditer(text):
+        if run.end() - run.start() < 13:
+            continue
+        spans = [(run.start() + g.start(), run.start() + g.end()) for g in _GROUP.finditer(run[0])]
+        if kind == "card":  # no part of a word with a hyphen
+            spans = spans[text[run.start() - 1 : run.start()] == "-" : len(spans) - (text[run.end() : run.end() + 1] == "-")]
+        parts: list[list[tuple[int, int]]] = [[]]
+        for s, e in spans:
+            if any(taken[s:e]):
+                parts.append([])
+            else:
+                parts[-1].append((s, e))
+        for part in parts:
+            groups, i, done = [text[s:e] for s, e in part], 0, 0
+            while i < len(groups):
+                j = end_of(groups, i)
+                if j is None:
+                    i += 1
+                    continue
+                first, new = max(done, i - reach), text[part[i][0] : part[j - 1][1]]
+                while True:
+                    new = change(new, key, back)
+                    now = groups[first:i] + _GROUP.findall(new) + groups[j : j + reach]
+                    if all(end_of(now, k) is None for k in range(i - first)) and end_of(now, i - first) == j - first:
+                        break
+                yield part[i][0], part[j - 1][1], new
+                i = done = j
+
+
+def _whole_card(m: re.Match, text: str, taken: bytearray, key: bytes, back: bool) -> str | None:
+    """A card in groups of other sizes. As above, its pseudonym must not hold a card in the usual groups."""
+    new, s, e = m[0], m.start(), m.end()
+    while (new := _card(new, key, back)) is not None:
+        before, after = max(0, s - 40), e + 40
+        shown = "".join("." if t else c for c, t in zip(text[before:s], taken[before:s], strict=True)) + new
+        shown += "".join("." if t else c for c, t in zip(text[e:after], taken[e:after], strict=True))
+        if all(_card_end(g, k) is None for r in _RUNS["card"].finditer(shown) for g in [_GROUP.findall(r[0])] for k in range(len(g))):
+            return new
+    return None
+
+
+def _phone_cut(s: str) -> str:
+    """Without the groups at the end that a number of its country has no room for. Empty: a card after a plus sign."""
+    if s[0] != "+":
+        return s
+    groups = _GROUP.findall(s)
+    if len(s) > 16 and (end := _card_end(groups, 0)) and sum(map(len, groups[:end])) > 15:
+        return ""
+    lead = re.match(r"\+\d{1,3}(?=[ (.-])", s) or _CALLING_CODE.match(s)
+    if long := re.match(r"\+.*?\d{6}\d*(?= )", s):  # so long a group is the last one of its number
+        s = long[0]
+    most = PHONE_DIGITS.get(lead[0] if lead else "", 15)
+    while len(re.sub(r"\D", "", s)) > most and (cut := re.search(r"[ .-]\d+$", s)):
+        s = s[: cut.start()]
+    return s
+
+
+def _found(kind: str, pattern: re.Pattern, change, text: str, taken: bytearray, key: bytes, back: bool) -> Iterator[tuple[int, int, str]]:
+    if kind in _ENDS:
+        yield from _in_runs(kind, text, taken, key, back)
+    if kind == "iban":
+        return
+    for m in pattern.finditer(text):
+        value = _phone_cut(m[0]) if kind == "phone" else m[0]
+        if value and not any(taken[m.start() : m.start() + len(value)]):
+            new = _whole_card(m, text, taken, key, back) if kind == "card" else change(value, key, back)
+            if new is not None:
+                yield m.start(), m.start() + len(value), new
 
 
 def pseudonymise(text: str, key: bytes, back: bool = False) -> tuple[str, dict[str, int]]:
@@ -169,13 +300,13 @@ def pseudonymise(text: str, key: bytes, back: bool = False) -> tuple[str, dict[s
     counts: dict[str, int] = {}
     if not _ANY_DIGIT_OR_AT.search(text):
         return text, counts
-    taken: list[tuple[int, int, str, str]] = []
+    values, taken = [], bytearray(len(text))
     for kind, pattern, change in _PATTERNS:
-        for m in pattern.finditer(text):
-            if all(m.end() <= s or m.start() >= e for s, e, _, _ in taken) and (new := change(m[0], key, back)) is not None:
-                taken.append((m.start(), m.end(), kind, new))
+        for s, e, new in _found(kind, pattern, change, text, taken, key, back):
+            values.append((s, e, kind, new))
+            taken[s:e] = b"\1" * (e - s)
     out, at = [], 0
-    for s, e, kind, new in sorted(taken):
+    for s, e, kind, new in sorted(values):
         out += [text[at:s], new]
         at = e
         counts[kind] = counts.get(kind, 0) + 1
@@ -197,8 +328,10 @@ def pseudonymise_table(docs: DataFrame, key: str, id_col: str = "doc_id", text_c
     """(id, text, n_replaced, kinds): whole texts with pseudonyms of the same format.
 
     Numbers are validated first (Luhn, mod 97, octets, calendar, number ranges); those that fail stay, as they
-    are no such values. Check digits are computed anew, so a pseudonym validates like its original, and
-    the same value has the same pseudonym in every document under the same key. With `back` and the key the mapping is
+    are no such values. A card or IBAN is found beside other numbers and words too: a card in one group or in the groups of
+    CARD_GROUPS, an IBAN at its country's length. Check digits are computed anew, so a pseudonym validates like its original,
+    and the same value has the same pseudonym in every document under the same key, unless that would validate
+    together with a number before it. With `back` and the key the mapping is
     undone. A null text stays null with 0 replaced; ids pass through untouched, null or repeated.
     """
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))

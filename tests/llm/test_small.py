@@ -112,6 +112,31 @@ def test_pseudonyms_keep_their_format_and_can_be_undone(kind):
     assert again != text
 
 
+BESIDE = {
+    "card": ("4111 1111 1111 1111", "4111111111111111", "4111-1111-1111-1111", "3782 822463 10005", "378282246310005"),
+    "iban": ("ES9121000418450200051332", "AT611904300234573201", "PL61109010140000071219812874", "SE45 5000 0000 0583 9825 7466", "DE89 3704 0044 0532 0130 00"),
+    "phone": ("+491701234567", "+49 170 1234567", "+49 170 123 4567", "+1 555 123 4567", "+14155552671"),
+}
+
+
+@pytest.mark.parametrize("kind", BESIDE)
+def test_values_are_found_beside_numbers_and_capitals(kind):
+    r = random.Random(2)
+    around = ["", "7", "12/27", "123", "2024", "BIC", "EUR", "AB12", "A", "order 7", "1234 5678"]
+    for value in BESIDE[kind]:
+        for left in around:
+            if kind == "phone" and left[-1:].isdigit():
+                left += ":"
+            for right in around:
+                for key in (b"k", b"%d" % r.randrange(10**6)):
+                    text = f"{left} {value} {right}"
+                    new, counts = pii.pseudonymise(text, key)
+                    assert counts == {kind: 1} and value not in new, text
+                    if kind != "phone" or value != "+49 170 123 4567" or right not in ("7", "123", "12/27"):  # a group more has room in a German number
+                        assert new.startswith(left) and new.endswith(right), (text, new)
+                    assert pii.pseudonymise(new, key, back=True)[0] == text
+
+
 def test_invalid_values_stay():
     for text in ("4111 1111 1111 1112", "300.1.1.1", "2023-02-29", "666-12-1234", "plain words", ""):
         assert pii.pseudonymise(text, b"k") == (text, {})
