@@ -14,6 +14,28 @@ def quotas(rows: int, shards: int) -> list[int]:
     return [rows // shards + (s < rows % shards) for s in range(shards)]
 
 
+def ranges(quota: list[int], large: int, linked: int, widest: int) -> list[tuple[bool, int, int, int]]:
+    """(linked, from, until, shard): where the rows start, by their place among the linked or the unlinked ones.
+
+    The rows of groups larger than a shard fill shards whole. The other linked ones spread evenly over what is left, so
+    that unlinked rows are everywhere, but no shard takes less of them than the widest group while it has room.
+    """
+    out, rest, at, free = [], [], 0, 0
+    for q in quota:
+        n = min(q, large - at)
+        rest.append(q - n)
+        at += n
+    more, room, place = linked - large, sum(rest), 0
+    for s, q in enumerate(quota):
+        share = max(widest, -(-(linked - large) * rest[s] // max(1, room)))
+        n = min(rest[s], share, more)
+        more -= n
+        n += q - rest[s]
+        out += [(True, place, place + n, s), (False, free, free + q - n, s)]
+        place, free = place + n, free + q - n
+    return [r for r in out if r[1] < r[2]]
+
+
 def flows(wanted: dict[tuple[int, int], int], free: list[int], over: list[int]) -> dict[tuple[int, int], int]:
     """How many of the wanted moves (from, to) fit: moves in opposite directions pay for each other; a further move
     into a shard needs a free (unlinked) row there that can give way, or a place below the quota (over < 0)."""
@@ -51,27 +73,37 @@ def _place(ws: Workspace, name: str, now: DataFrame, shards: int, quota: list[in
 def shard_rows(ws: Workspace, rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """(_row, _group) to (_row, _shard, _slot): shard sizes at most one apart, few links cut.
 
-    Rows start evenly spread. In each round a join tells every linked row how many of its neighbours (the rows of
-    its group) each shard holds; it wants the shard with most of them. Of the wanted moves, counted by
+    Linked rows start in the order of their groups, those of groups larger than a shard first, so that a group has at
+    most ceil(size / quota) + 1 shards and all groups together are cut at most once at each border of two shards. In
+    each round a join tells every linked row how many of its neighbours (the rows of its group) each shard holds; it
+    wants the shard with most of them that isn't full of the group, unless its own is. Of the wanted moves, counted by
     (from, to), as many are done as the quotas let; whole groups move first to last in a fixed order. Then unlinked
-    rows of shards above their quota fill those below. A group larger than a shard fills the shards one by one.
+    rows of shards above their quota fill those below. A move never gives a group a further shard.
     _group null: unlinked. _row must be unique. Slots count from 0 in each shard without gaps.
     """
     sizes = rows.filter("_group is not null").groupBy("_group").agg(F.count(F.lit(1)).alias("_size")).filter("_size > 1")
     sizes = ws.put("groups", sizes)
-    linked = rows.join(sizes, "_group", "left").select("_row", F.when(F.col("_size") > 1, F.col("_group")).alias("_group"), F.xxhash64("_row").alias("_mix"))
+    linked = rows.join(sizes, "_group", "left").select("_row", F.when(F.col("_size") > 1, F.col("_group")).alias("_group"), F.xxhash64("_row").alias("_mix"), "_size")
     linked = linked.withColumn("_linked", F.col("_group").isNotNull())
-    ranked = running(ws, "start", linked.withColumn("_all", F.lit(0)), "_all", ["_mix", "_row"], F.lit(1))
-    now = ws.put("shards0", ranked.select("_row", "_group", "_mix", "_linked", F.pmod("before", F.lit(shards)).cast("int").alias("_shard")))
-    ws.drop("start", "groups")
-    total = now.count()
+    total = rows.count()
     quota, last = quotas(total, shards), 0
+    is_large = F.col("_size") > total // shards
+    large, all_linked, widest = (x or 0 for x in sizes.agg(F.sum(F.when(is_large, F.col("_size"))), F.sum("_size"), F.max(F.when(~is_large, F.col("_size")))).first())
+    order = linked.withColumns({"_small": (~F.coalesce(is_large, F.lit(False))).cast("int"), "_gmix": F.xxhash64("_group")})
+    ranked = running(ws, "start", order, "_linked", ["_small", "_gmix", "_group", "_mix", "_row"], F.lit(1))
+    spec = F.broadcast(ws.spark.createDataFrame(ranges(quota, large, all_linked, widest), "_of boolean, _from long, _until long, _shard int"))  # two rows for each shard
+    placed = ranked.join(spec, (F.col("_linked") == F.col("_of")) & (F.col("before") >= F.col("_from")) & (F.col("before") < F.col("_until")))
+    now = ws.put("shards0", placed.select("_row", "_group", "_mix", "_linked", "_shard"))
+    ws.drop("start", "groups")
+    has_room = F.col("_n") < F.lit(total // shards) + (F.col("_shard") < total % shards).cast("int")
     for k in range(1, rounds + 1):
         # neighbours by shard: at most `shards` rows for each group, pre-aggregated
         held = now.filter("_linked").groupBy("_group", "_shard").agg(F.count(F.lit(1)).alias("_n"))
-        best = held.groupBy("_group").agg(F.max(F.struct("_n", (-F.xxhash64("_group", "_shard")).alias("_tie"), "_shard")).alias("_best")).select("_group", F.col("_best._shard").alias("_to"))
+        held = ws.put(f"held{k}", held)
+        full = F.broadcast(held.filter(~has_room).select("_group", "_shard"))  # one row for each shard at most
+        best = held.filter(has_room).groupBy("_group").agg(F.max(F.struct("_n", (-F.xxhash64("_group", "_shard")).alias("_tie"), "_shard")).alias("_best")).select("_group", F.col("_best._shard").alias("_to"))
         best = ws.put(f"best{k}", best)
-        moves = ws.put(f"moves{k}", now.filter("_linked").join(best, "_group").filter("_shard <> _to").select("_row", "_group", "_shard", "_to", F.xxhash64("_group").alias("_gmix")))
+        moves = ws.put(f"moves{k}", now.filter("_linked").join(full, ["_group", "_shard"], "left_anti").join(best, "_group").filter("_shard <> _to").select("_row", "_group", "_shard", "_to", F.xxhash64("_group").alias("_gmix")))
         wanted = {(r[0], r[1]): r[2] for r in moves.groupBy("_shard", "_to").count().collect()}  # shards x shards rows
         stats = {r[0]: r for r in now.groupBy("_shard").agg(F.count(F.lit(1)), F.sum((~F.col("_linked")).cast("long"))).collect()}
         n = [stats[s][1] if s in stats else 0 for s in range(shards)]
@@ -83,7 +115,7 @@ def shard_rows(ws: Workspace, rows: DataFrame, shards: int = SHARDS, rounds: int
         done = ws.put(f"done{k}", fit.filter("before < _most").select("_row", "_to"))
         moved = ws.put(f"moved{k}", now.join(done.hint("merge"), "_row", "left").withColumn("_shard", F.coalesce("_to", "_shard")).drop("_to"))
         now = ws.put(f"shards{k}", _place(ws, f"place{k}", moved, shards, quota))
-        ws.drop(f"shards{last}", f"best{k}", f"moves{k}", f"fit{k}", f"done{k}", f"moved{k}", f"place{k}_leave", f"place{k}_go", f"place{k}_pool")
+        ws.drop(f"shards{last}", f"held{k}", f"best{k}", f"moves{k}", f"fit{k}", f"done{k}", f"moved{k}", f"place{k}_leave", f"place{k}_go", f"place{k}_pool")
         last = k
     slots = running(ws, "slots", now.select("_row", "_shard", "_mix"), "_shard", ["_mix", "_row"], F.lit(1))
     return ws.put("placed", slots.select("_row", "_shard", F.col("before").alias("_slot")))

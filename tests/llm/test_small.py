@@ -294,6 +294,17 @@ def test_a_group_larger_than_a_shard_is_split(spark, ws):
     assert counts == [50] * 6 and got.filter("_row < 120").select("_shard").distinct().count() <= 5
 
 
+@pytest.mark.parametrize("sizes, n, shards", [([120], 300, 6), ([533], 1600, 16), ([100, 100, 100], 300, 6), ([70, 45, 45, 45, 30, 30] + [3] * 11, 303, 6), ([40] * 7, 300, 6), ([12], 12, 5), ([2], 3, 6)])
+def test_groups_take_few_shards(spark, ws, sizes, n, shards):
+    groups = [g for g, k in enumerate(sizes) for _ in range(k)]
+    rows = spark.createDataFrame([(f"r{i}", f"g{groups[i]}" if i < len(groups) else None) for i in range(n)], "_row string, _group string")
+    got = {r._row: (r._shard, r._slot) for r in sharding.shard_rows(ws, rows, shards).collect()}
+    assert len(got) == n and set(got.values()) == {(s, x) for s, q in enumerate(sharding.quotas(n, shards)) for x in range(q)}
+    held = [len({got[f"r{i}"][0] for i, h in enumerate(groups) if h == g}) for g in range(len(sizes))]
+    least = [-(-k // max(1, n // shards)) for k in sizes]
+    assert all(h <= x + 1 for h, x in zip(held, least, strict=True)) and sum(held) - len(held) <= shards - 1
+
+
 # ---- 8
 
 
