@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: A side of a join is broadcast only if its counted rows, at the stated bytes a row, stay under this.
+#: A side of a join is broadcast only if the measured bytes of its rows stay under this.
 BROADCAST_BYTES = 16 * 2**20
 
 
@@ -40,9 +41,31 @@ class Workspace:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """df with a broadcast hint if its counted rows fit the limit; else unchanged, for a shuffled join."""
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+def small(df: DataFrame, row_bytes: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if the summed bytes of its rows fit the limit; else unchanged, for a shuffled join.
+
+    A number stands for rows of fixed width; rows with texts or arrays give a column of their bytes.
+    """
+    size = row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes)
+    return F.broadcast(df) if (df.agg(F.sum(size.cast("long"))).first()[0] or 0) <= limit else df
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """All columns in one struct `_in`, so that none can clash with a column that an operator adds for itself."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_in"))
+
+
+def inside(name: str) -> Column:
+    """A column of packed rows."""
+    return F.col(f"_in.`{name}`")
+
+
+def fresh(name: str, df: DataFrame) -> str:
+    """`name`, or a longer one if df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def running(ws: Workspace, name: str, df: DataFrame, key: str, order: list[str], amount: Column, rows_per_bucket: int = 50_000) -> DataFrame:
@@ -55,14 +78,14 @@ def running(ws: Workspace, name: str, df: DataFrame, key: str, order: list[str],
     """
     n = max(1, -(-df.count() // rows_per_bucket))
     # the partition number is only stable once it is written
-    dealt = ws.put(name, df.withColumn("_amount", amount.cast("long")).repartitionByRange(n, key, *order).withColumn("_part", F.spark_partition_id()))
-    sums = dealt.groupBy(key, "_part").agg(F.sum("_amount").alias("_sum"))
-    w = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(F.col(key).alias("_key"), F.col("_part").alias("_p"), F.coalesce(F.sum("_sum").over(w), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_part", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = dealt.withColumn("_inside", F.coalesce(F.sum("_amount").over(inside), F.lit(0)))
-    joined = ranked.join(small(offsets, 64), (F.col("_part") == F.col("_p")) & F.col(key).eqNullSafe(F.col("_key")))
-    return joined.withColumn("before", F.col("_offset") + F.col("_inside")).drop("_key", "_p", "_part", "_offset", "_inside", "_amount")
+    dealt = ws.put(name, df.withColumn("_range_amount", amount.cast("long")).repartitionByRange(n, key, *order).withColumn("_range_part", F.spark_partition_id()))
+    sums = dealt.groupBy(key, "_range_part").agg(F.sum("_range_amount").alias("_range_sum"))
+    w = Window.partitionBy(key).orderBy("_range_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(F.col(key).alias("_range_key"), F.col("_range_part").alias("_range_p"), F.coalesce(F.sum("_range_sum").over(w), F.lit(0)).alias("_range_offset"))
+    inside = Window.partitionBy("_range_part", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = dealt.withColumn("_range_inside", F.coalesce(F.sum("_range_amount").over(inside), F.lit(0)))
+    joined = ranked.join(small(offsets, 64), (F.col("_range_part") == F.col("_range_p")) & F.col(key).eqNullSafe(F.col("_range_key")))
+    return joined.withColumn("before", F.col("_range_offset") + F.col("_range_inside")).drop("_range_key", "_range_p", "_range_part", "_range_offset", "_range_inside", "_range_amount")
 
 
 def components(ws: Workspace, name: str, edges: DataFrame) -> DataFrame:

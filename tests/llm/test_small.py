@@ -57,8 +57,8 @@ PAGE = """<html><head><title>T</title><script>var a="</p>";</script></head><body
 
 def test_page_structure():
     lines = html_text.page_lines(PAGE)
-    best = max(k for _, k in lines)
-    assert [t for t, k in lines if k == best] == ["Head & shoulders", "One two three", "Four <five>"]
+    best = max(k for _, k, _ in lines)
+    assert [t for t, k, _ in lines if k == best] == ["Head & shoulders", "One two three", "Four <five>"]
 
 
 def test_common_is_a_longest_common_subsequence():
@@ -73,7 +73,15 @@ def test_common_is_a_longest_common_subsequence():
     for _ in range(200):
         a, b = ([r.randrange(5) for _ in range(r.randrange(12))] for _ in range(2))
         got = html_text.common(a, b)
-        assert got == sorted(set(got)) and len(got) == length(a, b)
+        assert all(a[x] == b[y] for x, y in got) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:])) and len(got) == length(a, b)
+    assert len(html_text.common(["x"] * 2000, ["x"] * 1500)) == 1500  # matched by occurrence: all pairs would be three million
+
+
+def test_headings_and_fallback_text_belong_to_the_article():
+    page = "<main><h1>Head</h1><div class='byline'>x</div><div class='article-body'><p>One <math>a+b</math></p><object>Two</object></div><div class='related'>No</div></main>"
+    lines = html_text.page_lines(page)
+    best = max(k for _, k, _ in lines)
+    assert [t for t, k, _ in lines if k == best] == ["Head", "One a+b", "Two"]
 
 
 def test_differencing_decides_without_article_markup(spark, ws):
@@ -82,15 +90,95 @@ def test_differencing_decides_without_article_markup(spark, ws):
 
     rows = [page(1, "First text"), page(2, "Second text"), (3, None, PAGE, 1), (4, "https://x.org/", None, 1), (5, "not a url", "", 1), (None, "https://e.org/news/0", PAGE, 1), page(2, "Second text")]
     rows += [(7, "https://copy.org/a", "<p>Same</p>", 1), (8, "https://copy.org/b", "<p>Same</p>", 1)]
-    out = html_text.main_text(ws, spark.createDataFrame(rows, "page_id long, url string, html string, text int"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text int").withColumns({"_host": F.lit(1), "_key": F.lit(1), "n_chars": F.lit(1)})
+    out = html_text.main_text(ws, df)
     got = {r.page_id: r.text for r in out.collect()}
     assert got[1] == "First text" and got[2] == "Second text" and got[4] == got[5] == "" and got[7] == got[8] == "Same"
     assert got[3] == got[None] == "Head & shoulders\nOne two three\nFour <five>"
-    assert out.count() == len(rows) and out.columns == ["page_id", "url", "text", "n_chars"]
+    assert out.count() == len(rows) and out.columns == ["page_id", "url", "text", "n_chars", "n_lines", "n_differenced"]
     assert html_text.main_text(Workspace(spark, "t2"), out.select("page_id", "url", F.lit("").alias("html")).limit(0)).count() == 0
     assert html.unescape("&copy") == "©"
 
 
+def site(host, n, seed):
+    """Pages of one host: boilerplate from a small stock, articles of their own, a sentence that some articles share, copies."""
+    r, out = random.Random(seed), []
+    stock = [f"{host} notice {k}" for k in range(6)]
+    for i in range(n):
+        body = "".join(f"<p>{' '.join(words(12, seed * 1000 + i * 10 + k))}</p>" for k in range(4)) + ("<p>The same quoted sentence.</p>" if i % 7 == 0 else "")
+        if i and r.random() < 0.1:
+            body = out[-1][2].split("<!--b-->")[1]
+        top, end = r.choice(stock), r.choice(stock)
+        out.append((None, f"https://{host}/a/{r.randrange(9)}/{i}", f"<body><div class='x{i}'>{top}</div><div id=t><!--b-->{body}<!--b--></div><div class='y'><p>{end}</p><p>shown to {i}</p></div><ul><li>{r.choice(stock)}<li>{r.choice(stock)}</ul></body>"))
+    return out
+
+
+def brute_main_text(pages, near, recurring, least):
+    """Pairs all pages of a host, keeps the near ones, and aligns lines by a table."""
+    def shared(a, b):
+        t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in reversed(range(len(a))):
+            for j in reversed(range(len(b))):
+                t[i][j] = t[i + 1][j + 1] + 1 if a[i] == b[j] else max(t[i + 1][j], t[i][j + 1])
+        return t[0][0]
+
+    hosts, out, seen_by = {}, {}, {}
+    for i, url, source in pages:
+        host, _, path = url.removeprefix("https://").partition("/")
+        hosts.setdefault(host, []).append((path, i, html_text.page_lines(source, hints=False)))
+    for host, rows in hosts.items():
+        rows.sort()
+        votes, hits, cuts, compared = {}, {i: set() for _, i, _ in rows}, {i: set() for _, i, _ in rows}, set()
+        for x, (_, i, a) in enumerate(rows):
+            for y, (_, j, b) in enumerate(rows):
+                if x == y or abs(x - y) > near:
+                    continue
+                own, other = [t for t, _, _ in a], [t for t, _, _ in b]
+                both = set(own) & set(other)  # in these pages a line that both hold can be aligned unless lines cross
+                if shared(own, other) < len(both):
+                    both = {own[p] for p, _ in html_text.common(own, other)}
+                share = sum(map(len, both)) / min(sum(map(len, own)), sum(map(len, other)))
+                if share < 0.8:
+                    cuts[i] |= both
+                if share < 0.5:
+                    compared.add(i)
+                    hits[i] |= both
+        for _, i, a in rows:
+            if i in compared:
+                for t, _, block in a:
+                    v = votes.setdefault(block, [0, 0])
+                    v[0] += 1
+                    v[1] += t in hits[i]
+        template = {b for b, (n, again) in votes.items() if n >= least and again >= recurring * n + 1}
+        steady = {b for b, (n, again) in votes.items() if n >= least} - template
+        for _, i, a in rows:
+            kept = [t for t, _, b in a if b not in template]
+            if 2 * sum(map(len, kept)) < sum(len(t) for t, _, _ in a) or len(kept) == len(a):
+                kept = [t for t, _, b in a if t not in cuts[i] or b in steady] or [t for t, _, _ in a]
+            out[i] = "\n".join(kept)
+        seen_by[host] = template
+    return out, seen_by
+
+
+def test_differencing_matches_brute_force_without_markup(spark, ws, monkeypatch):
+    monkeypatch.setattr(html_text, "GROUP", 40)  # several groups, with borders inside a host
+    pages = [(k, u, h) for k, (_, u, h) in enumerate(site("a.org", 90, 1) + site("b.org", 45, 2) + site("c.org", 3, 3) + site("d.org", 1, 4))]
+    want, templates = brute_main_text(pages, html_text.NEAR, html_text.RECURRING, html_text.LINES)
+    out = html_text.main_text(ws, spark.createDataFrame(pages, "page_id long, url string, html string"), hints=False).collect()
+    assert {r.page_id: r.text for r in out} == want and len(templates["a.org"]) >= 3
+    big = [r for r in out if r.url.startswith("https://a.org")]
+    assert all("notice" not in r.text and "shown to" not in r.text for r in big) and sum("quoted" in r.text for r in big) > 8, "template goes, also what recurs nowhere; a quoted sentence stays"
+
+
+def test_markup_and_differencing_agree(spark, ws):
+    boxed = lambda h: h.replace("<div id=t>", "<article>").replace("<!--b--></div>", "</article>")
+    pages = [(k, u, boxed(h)) for k, (_, u, h) in enumerate(site("a.org", 60, 1))] + [(900, "https://a.org/long", "<article>" + "<p>word </p>" * 30_000 + "</article>")]
+    got = {r.page_id: r for r in html_text.main_text(ws, spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i, _, source in pages:
+        assert got[i].text == "\n".join(t for t, k, _ in html_text.page_lines(source) if k == html_text.ARTICLE)
+    assert sum(r.n_differenced for r in got.values()) > 150
+
+
 # ---- 2
 
 SAMPLES = {
