@@ -103,13 +103,13 @@ def test_differencing_decides_without_article_markup(spark, ws):
 def site(host, n, seed):
     """Pages of one host: boilerplate from a small stock, articles of their own, a sentence that some articles share, copies."""
     r, out = random.Random(seed), []
-    stock = [f"{host} notice {k}" for k in range(6)]
+    stock = [[f"{host} notice {place}{k}" for k in range(5)] for place in "abcd"]  # a page holds no line twice
     for i in range(n):
         body = "".join(f"<p>{' '.join(words(12, seed * 1000 + i * 10 + k))}</p>" for k in range(4)) + ("<p>The same quoted sentence.</p>" if i % 7 == 0 else "")
         if i and r.random() < 0.1:
             body = out[-1][2].split("<!--b-->")[1]
-        top, end = r.choice(stock), r.choice(stock)
-        out.append((None, f"https://{host}/a/{r.randrange(9)}/{i}", f"<body><div class='x{i}'>{top}</div><div id=t><!--b-->{body}<!--b--></div><div class='y'><p>{end}</p><p>shown to {i}</p></div><ul><li>{r.choice(stock)}<li>{r.choice(stock)}</ul></body>"))
+        top, end, one, two = map(r.choice, stock)
+        out.append((None, f"https://{host}/a/{r.randrange(9)}/{i}", f"<body><div class='x{i}'>{top}</div><div id=t><!--b-->{body}<!--b--></div><div class='y'><p>{end}</p><p>shown to {i}</p></div><ul><li>{one}<li>{two}</ul></body>"))
     return out
 
 
