@@ -41,12 +41,22 @@ class Workspace:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small(df: DataFrame, row_bytes: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:
+def width(df: DataFrame) -> Column:
+    """About the bytes of a row: fixed-width columns as 16, texts and arrays as measured."""
+    size = F.lit(16)
+    for f in df.schema:
+        c, kind = F.col(f"`{f.name}`"), f.dataType.typeName()
+        more = F.octet_length(c) if kind in ("string", "binary") else F.size(c) * 16 if kind == "array" else F.lit(0)
+        size += F.coalesce(more, F.lit(0)) + 16
+    return size
+
+
+def small(df: DataFrame, row_bytes: int | Column | None = None, limit: int = BROADCAST_BYTES) -> DataFrame:
     """df with a broadcast hint if the summed bytes of its rows fit the limit; else unchanged, for a shuffled join.
 
-    A number stands for rows of fixed width; rows with texts or arrays give a column of their bytes.
+    A number stands for rows of fixed width; without one each row is measured.
     """
-    size = row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes)
+    size = width(df) if row_bytes is None else row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes)
     return F.broadcast(df) if (df.agg(F.sum(size.cast("long"))).first()[0] or 0) <= limit else df
 
 

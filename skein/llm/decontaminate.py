@@ -2,82 +2,134 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, small, words
+from .common import Workspace, fresh, small, words
 
 SHINGLE, PERCENT = 5, 80
 
 
-def runs(df: DataFrame, key: str, k: int) -> DataFrame:
-    """(key, _min): the 64-bit hash of every run of k words in the array _w.
+def spread(df: DataFrame, keys: list, longest: int) -> DataFrame:
+    """(keys, w0, w1, ...): every word of the array _w with those that follow it; null beyond the end.
 
     Neighbouring words stand side by side in generated code, without a lambda for each position. inline_outer: for a
     plain inline Spark would push a filter on its size below, and tokenise the text for each word.
     """
-    side = F.arrays_zip(*[F.slice("_w", j + 1, F.greatest(F.size("_w"), F.lit(1))).alias(f"w{j}") for j in range(k)])
-    beside = df.select(key, F.inline_outer(side).alias(*[f"w{j}" for j in range(k)]))
-    return beside.filter(F.col(f"w{k - 1}").isNotNull()).select(key, F.xxhash64(*[f"w{j}" for j in range(k)]).alias("_min"))
+    side = F.arrays_zip(*[F.slice("_w", j + 1, F.greatest(F.size("_w"), F.lit(1))).alias(f"w{j}") for j in range(longest)])
+    return df.select(*keys, F.inline_outer(side).alias(*[f"w{j}" for j in range(longest)]))
+
+
+def _hash(k: int) -> Column:
+    return F.xxhash64(*[f"w{j}" for j in range(k)])
+
 
+def _text(k: int) -> Column:
+    return F.concat_ws(" ", *[f"w{j}" for j in range(k)])
 
-def shingles(w: Column, k: Column) -> Column:
-    """The distinct k-word shingles of an array of words; fewer words than k: none."""
-    starts = F.sequence(F.lit(0), F.greatest(F.size(w) - k, F.lit(0)))
-    all_runs = F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(w, i + 1, k), " ")))
-    return F.when(F.size(w) >= k, all_runs).otherwise(F.array().cast("array<string>"))
+
+def _full(k: int) -> Column:
+    return F.col(f"w{k - 1}").isNotNull()
+
+
+def _by_length(make, lengths: range) -> Column:
+    """make(k) for the row's own shingle length _k, null at the last words of a text."""
+    out = F.when(F.lit(False), make(lengths[0]))
+    for k in lengths:
+        out = out.when((F.col("_k") == k) & _full(k), make(k))
+    return out
+
+
+@dataclass(frozen=True)
+class Partition:
+    """Items of one shingle length whose shingle count has the same number of binary digits."""
+
+    k: int  # words in a shingle
+    size_class: int  # floor(log2(shingles))
+    top: int  # the largest hash in the sketches of these items
+    need: int  # the fewest shingles that a document must share with one of them
+
+
+def item_sets(ws: Workspace, items: DataFrame, item_id: str, item_text: str, shingle: int) -> DataFrame:
+    """(item_id, _item, _k, _w): items by the words that they consist of; equal ones are searched once."""
+    it = items.select(F.col(item_id).alias("item_id"), words(F.col(item_text)).alias("_w")).filter("item_id is not null and size(_w) > 0")
+    return ws.put("items", it.select("item_id", F.sha2(F.array_join("_w", " "), 256).alias("_item"), F.least(F.size("_w"), F.lit(shingle)).alias("_k"), "_w").distinct())
+
+
+def sketches(ws: Workspace, it: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, list[Partition]]:
+    """(_k, _class, _min): the sketches of all items, and their size partitions with a bound of its own for each.
+
+    A sketch is the n - ceil(percent * n) + 1 smallest of an item's n shingle hashes: a document with the required containment
+    can miss fewer shingles than that, so it holds at least one of them. Its length goes with the item's size.
+    """
+    one = it.select("_item", "_k", "_w").dropDuplicates(["_item"])
+    hashed = spread(one, ["_item", "_k"], shingle).select("_item", "_k", _by_length(_hash, range(1, shingle + 1)).alias("_h")).filter("_h is not null")
+    sets = hashed.groupBy("_item", "_k").agg(F.sort_array(F.collect_set("_h")).alias("_h")).withColumn("_n", F.size("_h"))
+    need = F.ceil(F.col("_n") * percent / 100).cast("int")
+    sets = sets.select("_k", F.floor(F.log2("_n")).cast("int").alias("_class"), need.alias("_need"), F.explode(F.slice("_h", 1, F.col("_n") - need + 1)).alias("_min"))
+    sketch = ws.put("sketch", sets.groupBy("_k", "_class", "_min").agg(F.min("_need").alias("_need")))
+    # at most `shingle` times the number of binary digits of the largest item
+    found = sketch.groupBy("_k", "_class").agg(F.max("_min").alias("top"), F.min("_need").alias("need")).orderBy("_k", "_class").collect()
+    return sketch, [Partition(r["_k"], r["_class"], r["top"], r["need"]) for r in found]
+
+
+def probes(docs: DataFrame, partitions: list[Partition]) -> DataFrame:
+    """(_id, _version, _k, _class, _min): what documents ask each size partition, from one pass over their words.
+
+    A hash goes only to partitions whose sketches reach as far, and only from documents large enough for their items.
+    """
+    d = docs.withColumn("_size", F.size("_w"))
+    rows = spread(d, ["_id", "_version", "_size"], max(p.k for p in partitions))
+    asks = {p: _full(p.k) & (_hash(p.k) <= p.top) & (F.col("_size") - (p.k - 1) >= p.need) for p in partitions}
+    any_of = F.lit(False)
+    for ask in asks.values():
+        any_of |= ask
+    sent = F.array(*[F.when(ask, F.struct(F.lit(p.k).alias("_k"), F.lit(p.size_class).alias("_class"), _hash(p.k).alias("_min"))) for p, ask in asks.items()])
+    return rows.filter(any_of).select("_id", "_version", F.inline(sent)).filter("_min is not null")
 
 
 def contaminated(ws: Workspace, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Pairs (doc_id, item_id, n_shared, n_item) in which a document holds at least `percent` % of an item's shingles.
 
-    Items are partitioned by size (powers of two of their shingle count, and the shingle length for items of fewer
-    words). An item's MinHash sketch is its n - ceil(percent * n) + 1 smallest shingle hashes: a document with the
-    required containment can miss fewer shingles than that, so it holds at least one of them, and the search loses
-    no pair. A document sends only hashes up to the largest minimum of the partitions. Candidates are
-    verified by exact containment of the shingle strings in the whole text.
+    1. Items are partitioned by size: powers of two of their shingle count, and the shingle length for items of fewer
+       words than a shingle. Each partition has MinHash sketches as long as its items need, and a bound of its own.
+    2. Documents are tokenised once; their hashes ask the partitions. A document that hits a sketch is a candidate. No
+       pair at the threshold is lost, and no pairs are made yet, so a shingle that many items share costs nothing.
+    3. Of candidates alone the distinct shingles are joined with the items' shingles, as strings, and counted.
 
     Words are runs of letters, marks and digits of the lower-cased text. An item without words, a null id or a null
-    text matches nothing. Items of fewer words than a shingle count as one shingle of all their words. Rows
-    that share an id are one item or document each (their words are not joined; any of them may match). Extra
-    columns are ignored.
+    text matches nothing. Items of fewer words than a shingle count as one shingle of all their words. Of rows that
+    share an id each text is searched on its own, and the one that shares most counts. Extra columns are ignored.
     """
-    it = items.select(F.col(item_id).alias("item_id"), words(F.col(item_text)).alias("_w")).filter("item_id is not null and size(_w) > 0")
-    it = ws.put("items", it.withColumn("_k", F.least(F.size("_w"), F.lit(shingle))))
-    lengths = sorted(r["_k"] for r in it.select("_k").distinct().collect())  # at most `shingle` rows
-    if not lengths:
-        return ws.spark.createDataFrame([], "doc_id long, item_id long, n_shared int, n_item int")
-    sets = None
-    for k in lengths:
-        one = runs(it.filter(F.col("_k") == k), "item_id", k).groupBy("item_id").agg(F.sort_array(F.collect_set("_min")).alias("_h")).withColumn("_k", F.lit(k))
-        sets = one if sets is None else sets.unionByName(one)
-    sets = sets.withColumn("_n", F.size("_h")).withColumn("_class", F.floor(F.log2("_n")).cast("int"))
-    sketch = F.slice("_h", 1, F.col("_n") - F.ceil(F.col("_n") * percent / 100).cast("int") + 1)
-    sketch = ws.put("sketch", sets.select("item_id", "_k", "_class", F.explode(sketch).alias("_min")))
-    # the largest minimum of each size class of each length bounds what a document sends
-    classes = sketch.groupBy("_k", "_class").agg(F.max("_min").alias("top")).collect()
-
-    d = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("_w"))
-    probes = None
-    for k in lengths:
-        sent = runs(d, "doc_id", k).filter(F.col("_min") <= max(r["top"] for r in classes if r["_k"] == k)).withColumn("_k", F.lit(k))
-        probes = sent if probes is None else probes.unionByName(sent)
-    pairs = ws.put("pairs", probes.join(small(sketch.select("_k", "_min", "item_id"), 64), ["_k", "_min"]).select("doc_id", "item_id").distinct())
+    it = item_sets(ws, items, item_id, item_text, shingle)
+    sketch, partitions = sketches(ws, it, shingle, percent)
+    versions = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_version"), F.col(text_col).alias("_text"))
+    if not partitions:
+        kind = it.schema["item_id"].dataType
+        return versions.filter(F.lit(False)).select(F.col("_id").alias("doc_id"), F.lit(None).cast(kind).alias("item_id"), F.lit(0).alias("n_shared"), F.lit(0).alias("n_item"))
+    asked = probes(versions.select("_id", "_version", words(F.col("_text")).alias("_w")), partitions)
+    hit = ws.put("candidates", asked.join(small(sketch.drop("_need")), ["_k", "_class", "_min"], "left_semi").select("_id", "_version").distinct())
     ws.drop("sketch")
 
-    full = it.select("item_id", "_k", shingles(F.col("_w"), F.col("_k")).alias("_item"))
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
-    # only documents with a candidate are tokenised again
-    both = pairs.hint("merge").join(texts, "doc_id").join(small(full, 16384), "item_id").withColumn("_w", words(F.col("_text")))
-    shared = F.size(F.array_intersect(shingles(F.col("_w"), F.col("_k")), F.col("_item")))
-    found = both.groupBy("doc_id", "item_id").agg(F.max(shared).alias("n_shared"), F.max(F.size("_item")).alias("n_item"))
-    return found.filter(F.col("n_shared") * 100 >= F.col("n_item") * percent)
+    lengths = sorted({p.k for p in partitions})
+    one = it.select("_item", "_k", "_w").dropDuplicates(["_item"])
+    own = ws.put("shingles", spread(one, ["_item", "_k"], shingle).select("_item", "_k", _by_length(_text, range(1, shingle + 1)).alias("_s")).filter("_s is not null").distinct())
+    sizes = own.groupBy("_item").agg(F.count(F.lit(1)).cast("int").alias("n_item"))
+    held = versions.join(small(hit), ["_id", "_version"], "left_semi").select("_id", "_version", words(F.col("_text")).alias("_w"))
+    held = spread(held, ["_id", "_version"], lengths[-1])
+    each = F.array(*[F.when(_full(k), F.struct(F.lit(k).alias("_k"), _text(k).alias("_s"))) for k in lengths])
+    shared = held.select("_id", "_version", F.inline(each)).filter("_s is not null").join(small(own), ["_k", "_s"]).groupBy("_id", "_version", "_item").agg(F.count_distinct("_s").cast("int").alias("n_shared"))
+    found = shared.join(small(sizes), "_item").filter(F.col("n_shared") * 100 >= F.col("n_item") * percent)
+    pairs = found.join(small(it.select("item_id", "_item")), "_item").groupBy(F.col("_id").alias("doc_id"), "item_id").agg(F.max(F.struct("n_shared", "n_item")).alias("_most"))
+    return pairs.select("doc_id", "item_id", "_most.n_shared", "_most.n_item")
 
 
 def decontaminate(ws: Workspace, docs: DataFrame, items: DataFrame, **names: str) -> DataFrame:
     """docs without the documents that hold an item; rows with a null id or text stay."""
-    hit = ws.put("hits", contaminated(ws, docs, items, **names).select(F.col("doc_id").alias("_hit")).distinct())
-    return docs.join(hit.hint("merge"), F.col(names.get("id_col", "doc_id")) == F.col("_hit"), "left_anti")
+    hit = ws.put("hits", contaminated(ws, docs, items, **names).select(F.col("doc_id").alias(gone := fresh("_hit", docs))).distinct())
+    return docs.join(small(hit), F.col(names.get("id_col", "doc_id")) == F.col(gone), "left_anti")
 
 
 ORACLE = r"""

@@ -507,3 +507,35 @@ def test_contamination_matches_brute_force(spark, ws):
     none = spark.createDataFrame([(1, None)], "item_id long, text string")
     assert decontaminate.contaminated(Workspace(spark, "e"), docs(spark, texts), none).count() == 0
     assert decontaminate.decontaminate(Workspace(spark, "f"), docs(spark, texts), spark.createDataFrame(items, "item_id long, text string")).count() == len(texts) - len({i for i, _ in want})
+
+
+def test_a_size_partition_has_a_bound_of_its_own(spark, ws):
+    """Small items, whose sketches reach high, don't widen what documents send to large ones, and the other way round."""
+    def bounds(name, sizes):
+        items = spark.createDataFrame([(i, " ".join(f"s{n}x{i}y{j}" for j in range(n + 4))) for i, n in enumerate(sizes)], "item_id long, text string")
+        w = Workspace(spark, name)
+        return {(p.k, p.size_class): (p.top, p.need) for p in decontaminate.sketches(w, decontaminate.item_sets(w, items, "item_id", "text", 5), 5, 80)[1]}
+
+    small, large = [2] * 20, [40] * 20
+    alone, both = bounds("a", large), bounds("b", large + small)
+    assert set(alone) == {(5, 5)} and set(both) == {(5, 1), (5, 5)}
+    assert both[5, 5][1] == 32 and both[5, 1][1] == 2
+    # of 40 shingles the 9 smallest hashes make the sketch, so the bound lies far below that of items of two shingles
+    assert both[5, 5] == alone[5, 5] and both[5, 5][0] < 2**62 < both[5, 1][0]
+    docs_ = spark.createDataFrame([(i, 0, [f"d{i}x{j}" for j in range(60)]) for i in range(40)] + [(99, 0, ["a"] * 20)], "_id long, _version long, _w array<string>")
+    parts = [decontaminate.Partition(5, c, top, need) for (_, c), (top, need) in both.items()]
+    sent = {(r._class, r._id == 99): r["count"] for r in decontaminate.probes(docs_, parts).withColumn("x", F.lit(1)).groupBy("_class", "_id").count().collect()}
+    assert not any(c == 5 and short for c, short in sent), "a document smaller than an item needs asks nothing"
+
+
+def test_repeated_ids_texts_and_clashing_names(spark, ws):
+    item = " ".join(words(30, 1))
+    items = spark.createDataFrame([(1, item, 0), (2, item, 0), (1, "other words entirely " * 4, 0), (3, " ".join(words(30, 2)), 0)], "item_id long, text string, _item int")
+    rows = [("a", "x " + item), ("a", "nothing here"), ("b", "nothing here"), ("c", item * 1 + " y" * 50_000), (None, item)]
+    df = spark.createDataFrame(rows, "doc_id string, text string").withColumns({n: F.lit(7) for n in ("_hit", "_id", "_k", "_version", "item_id", "n_item", "w0")})
+    got = {(r.doc_id, r.item_id): (r.n_shared, r.n_item) for r in decontaminate.contaminated(ws, df, items).collect()}
+    assert got == {(d, i): (26, 26) for d in "ac" for i in (1, 2)}
+    left = decontaminate.decontaminate(Workspace(spark, "l"), df, items)
+    assert left.columns == df.columns and sorted(str(r.doc_id) for r in left.collect()) == ["None", "b"]
+    none = decontaminate.contaminated(Workspace(spark, "n"), df, items.limit(0))
+    assert none.count() == 0 and none.schema["doc_id"].dataType.simpleString() == "string"
