@@ -98,6 +98,22 @@ def running(ws: Workspace, name: str, df: DataFrame, key: str, order: list[str],
     return joined.withColumn("before", F.col("_range_offset") + F.col("_range_inside")).drop("_range_key", "_range_p", "_range_part", "_range_offset", "_range_inside", "_range_amount")
 
 
+def renumbered(ws: Workspace, name: str, df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """df with its column _id as a long, and the table (_id, _name) that leads back.
+
+    Whole numbers stay as they are, without a table. Ids of other types get their place in the order of all ids, so
+    the smallest one stays the smallest; that costs one more join.
+    """
+    if df.schema["_id"].dataType.typeName() in ("byte", "short", "integer", "long"):
+        return df.withColumn("_id", F.col("_id").cast("long")), None
+    names = df.select(F.col("_id").alias("_name")).filter("_name is not null").distinct().withColumn("_all", F.lit(0))
+    ranked = running(ws, f"{name}_rank", names, "_all", ["_name"], F.lit(1))
+    names = ws.put(name, ranked.select(F.col("before").alias("_id"), "_name"))
+    ws.drop(f"{name}_rank")
+    columns = [c for c in df.columns if c != "_id"]
+    return ws.put(f"{name}_rows", df.withColumnRenamed("_id", "_name").join(names, "_name", "left").select("_id", *columns)), names
+
+
 def components(ws: Workspace, name: str, edges: DataFrame) -> DataFrame:
     """Connected components of (a, b) long edges: (node, label), label the smallest node of the component.
 

@@ -263,22 +263,40 @@ def brute_links(vectors, least):
     return {i: (int(near[k].sum()), label[i]) for k, i in enumerate(ids)}
 
 
-def test_vector_links_match_brute_force(spark, ws, monkeypatch):
-    monkeypatch.setattr(vector_join, "BLOCK", 37)
+@pytest.mark.parametrize("block, stripe", [(37, 512), (90, 16), (16384, 64)])
+def test_vector_links_match_brute_force(spark, ws, monkeypatch, block, stripe):
+    monkeypatch.setattr(vector_join, "BLOCK", block)
+    monkeypatch.setattr(vector_join, "STRIPE", stripe)
     r = np.random.default_rng(1)
     centres = r.normal(size=(9, 12))
     vectors = {i: (centres[0 if i < 150 else r.integers(9)] + r.normal(scale=0.35, size=12)).astype(np.float32).tolist() for i in range(400)}
     vectors[401] = vectors[3]
     rows = [(i, v, 1) for i, v in vectors.items()] + [(900, None, 1), (901, [0.0] * 12, 1), (902, [float("nan")] * 12, 1), (903, [], 1), (904, [None, 1.0], 1), (None, vectors[3], 1), (905, [1.0, 2.0], 1)]
-    out = vector_join.vector_links(ws, spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumns({"_id": F.lit(1), "_n": F.lit(1), "kept": F.lit(1)})
+    out = vector_join.vector_links(ws, df)
     got = {x.vec_id: (x.n_links, x.component_id) for x in out.collect()}
     want = brute_links(vectors, 0.9)
     assert {i: got[i] for i in want} == want and sum(n for n, _ in want.values()) > 100
     assert all(got[i] == (0, i) for i in (900, 901, 902, 903, 904, 905)) and got[None] == (0, None)
+    if block == 37:
+        named = vector_join.vector_links(Workspace(spark, "s"), df.withColumn("vec_id", F.format_string("v%03d", "vec_id")).filter("vec_id <> 'vnull'"))
+        assert {x.vec_id: (x.n_links, x.component_id) for x in named.collect()} == {f"v{i:03d}": (n, f"v{c:03d}") for i, (n, c) in got.items() if i is not None}
     empty = vector_join.vector_links(Workspace(spark, "e"), out.select("vec_id", F.array().cast("array<float>").alias("embedding")).limit(0))
     assert empty.count() == 0
 
 
+def test_bounds_prune_where_vectors_cluster_and_cost_nothing_where_they_do_not(spark, ws, monkeypatch):
+    monkeypatch.setattr(vector_join, "BLOCK", 100)
+    r = np.random.default_rng(2)
+    centres = r.normal(size=(40, 24))
+    near = [(i, 24, 1, (centres[i % 40] + r.normal(scale=0.12, size=24)).astype(np.float32).tobytes()) for i in range(2000)]
+    apart = [(i, 24, 1, r.normal(size=24).astype(np.float32).tobytes()) for i in range(2000)]
+    schema = "_rep long, _dim int, _n long, _raw binary"
+    some = vector_join.pruned(vector_join.placed(ws, spark.createDataFrame(near, schema), 0.9))
+    none = vector_join.pruned(vector_join.placed(Workspace(spark, "n"), spark.createDataFrame(apart, schema), 0.9))
+    assert some["vectors"] == 2000 and some["compared"] < 0.15 and none["compared"] <= 1.0001 and none["copies"] < 3
+
+
 # ---- 4
 
 
