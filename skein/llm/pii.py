@@ -7,7 +7,9 @@ import hashlib
 import hmac
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -77,15 +79,32 @@ def _filled(shape: str, digits: str) -> str:
     return "".join(next(it) if c.isalnum() else c for c in shape)
 
 
+#: First digits and lengths of card numbers by network; no prefix starts another.
+ISSUERS = (
+    (re.compile("4"), (13, 16, 19)), (re.compile("5[1-5]|222[1-9]|22[3-9][0-9]|2[3-6][0-9][0-9]|27[01][0-9]|2720"), (16,)), (re.compile("3[47]"), (15,)),
+    (re.compile("30[0-5]|3[689]"), tuple(range(14, 20))), (re.compile("35(?:2[89]|[3-8][0-9])"), tuple(range(16, 20))), (re.compile("6011|64[4-9]|65|62"), tuple(range(16, 20))),
+    (re.compile("50|5[6-8]|6[37]"), tuple(range(13, 20))),
+)
+
+
+def _issuer(d: str) -> str | None:
+    """The network's digits of a valid card number."""
+    if 13 <= len(d) <= 19 and luhn(d[:-1]) == int(d[-1]) and len(set(d)) > 1:
+        return next((m[0] for p, lengths in ISSUERS if len(d) in lengths and (m := p.match(d))), None)
+    return None
+
+
 def _is_card(d: str) -> bool:
-    return 13 <= len(d) <= 19 and luhn(d[:-1]) == int(d[-1]) and len(set(d)) > 1
+    return _issuer(d) is not None
 
 
 def _card(s: str, key: bytes, back: bool) -> str | None:
+    """The network's digits stay, the check digit is computed anew, all others are permuted."""
     d = re.sub("[ -]", "", s)
-    if not _is_card(d):
+    issuer = _issuer(d)
+    if issuer is None:
         return None
-    body = string(d[:-1], key, "card", back)
+    body = issuer + string(d[len(issuer) : -1], key, "card" + issuer, back)
     return _filled(s, body + str(luhn(body)))
 
 
@@ -117,27 +136,74 @@ def _ssn(s: str, key: bytes, back: bool) -> str | None:
 
 
 def _phone(s: str, key: bytes, back: bool) -> str | None:
-    """The country code stays; all other digits are permuted."""
+    """The country code stays; all other digits are permuted as one number, whatever separates them."""
     lead = re.match(r"\+\d{1,3}(?=[ (.-])", s) or _CALLING_CODE.match(s)
     head = lead[0] if lead else ""
-    if not 7 <= len(re.sub(r"\D", "", s[len(head) :])) <= 14:
+    digits = re.sub(r"\D", "", s[len(head) :])
+    if not 7 <= len(digits) <= 14:
         return None
-    return head + string(s[len(head) :], key, "phone" + head, back)
+    return head + _filled(s[len(head) :], string(digits, key, "phone" + head, back))
 
 
-def _date(s: str, key: bytes, back: bool) -> str | None:
-    """A valid day of 1900 to 2099 becomes another one in the same notation (year first, or day first)."""
-    a, sep, b, _, c = re.split(r"([-/.])", s)
-    y, m, d = (a, b, c) if len(a) == 4 else (c, b, a)
+#: English month names, in full and with three letters.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+_MONTH = re.compile(r"[A-Za-z]{3,9}")
+
+
+@lru_cache
+def _days() -> dict[tuple, list[int]]:
+    """The days of 1900 to 2099 by how they are written: digits of the month and of the day, whether a day can be taken for a
+    month, and May, whose name is its short form too. A day is permuted within its class, so every notation of it
+    keeps its length and has the same pseudonym."""
+    out: dict[tuple, list[int]] = {}
+    for n in range(FIRST_DAY, LAST_DAY + 1):
+        out.setdefault(_day_class(datetime.date.fromordinal(n)), []).append(n)
+    return out
+
+
+def _day_class(d: datetime.date) -> tuple:
+    return d.month == 5, d.month > 9, d.day > 9, d.day > 12
+
+
+def _day(y: str, m: str, d: str, key: bytes, back: bool) -> datetime.date | None:
     try:
-        day = datetime.date(int(y), int(m), int(d)).toordinal()
+        day = datetime.date(int(y), int(m), int(d))
     except ValueError:
         return None
-    if not FIRST_DAY <= day <= LAST_DAY:
+    if not FIRST_DAY <= day.toordinal() <= LAST_DAY:
+        return None
+    kind = _day_class(day)
+    days = _days()[kind]
+    return datetime.date.fromordinal(days[permuted(bisect_left(days, day.toordinal()), len(days), key, f"date{kind}", back)])
+
+
+def _date(s: str, key: bytes, back: bool) -> str | None:
+    """A valid day of 1900 to 2099 becomes another one in the same notation: year first; else day first, or month
+    first where day first is no date."""
+    a, sep, b, _, c = re.split(r"([-/.])", s)
+    if len(a) == 4:
+        new = _day(a, b, c, key, back)
+        return new and sep.join((f"{new.year}", f"{new.month}".zfill(len(b)), f"{new.day}".zfill(len(c))))
+    if new := _day(c, b, a, key, back):
+        return sep.join((f"{new.day}".zfill(len(a)), f"{new.month}".zfill(len(b)), f"{new.year}"))
+    if new := _day(c, a, b, key, back):
+        return sep.join((f"{new.month}".zfill(len(a)), f"{new.day}".zfill(len(b)), f"{new.year}"))
+    return None
+
+
+def _named_date(s: str, key: bytes, back: bool) -> str | None:
+    """'Feb 29, 2024', '29 February 2024', 'March 1st, 2024': names keep their form and case, ordinals follow the day."""
+    word = _MONTH.search(s)[0]
+    month = next((k for k, m in enumerate(MONTHS, 1) if word.lower() in (m, m[:3])), None)
+    day, year = re.search(r"(?<!\d)\d{1,2}(?!\d)", s), re.search(r"\d{4}", s)
+    new = _day(year[0], str(month), day[0], key, back) if month else None
+    if new is None:
         return None
-    new = datetime.date.fromordinal(FIRST_DAY + permuted(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date", back))
-    y, m, d = f"{new.year}", f"{new.month:02d}", f"{new.day:02d}"
-    return sep.join((y, m, d) if len(a) == 4 else (d, m, y))
+    name = MONTHS[new.month - 1][: 3 if len(word) == 3 else None]
+    name = name.upper() if word.isupper() else name.title() if word[0].isupper() else name
+    end = "th" if 11 <= new.day <= 13 else {1: "st", 2: "nd", 3: "rd"}.get(new.day % 10, "th")
+    out = re.sub(r"(?<!\d)\d{1,2}(?!\d)(st|nd|rd|th)?", lambda m: f"{new.day}".zfill(len(day[0])) + (end if m[1] else ""), s, count=1)
+    return re.sub(r"\d{4}", f"{new.year}", out).replace(word, name, 1)
 
 
 def _email(s: str, key: bytes, back: bool) -> str:
@@ -169,13 +235,15 @@ _CALLING_CODE = re.compile(r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1
 #: Most digits with the country code: of numbering plans of one length, else of E.164.
 PHONE_DIGITS = {"+1": 11, "+7": 11, "+31": 11, "+33": 11, "+34": 11, "+41": 11, "+44": 12, "+45": 10, "+46": 11, "+47": 10, "+48": 11, "+61": 11, "+86": 13, "+91": 12, "+351": 12, "+420": 12}
 
+_NAMES = "|".join(dict.fromkeys(x for m in MONTHS for x in (m, m[:3])))
 #: In the order in which they are tried at a place of the text.
 FORMATS = {
     "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", _email),
     "secret": (r"\b(?:[0-9a-f]{32,128}|(?:AKIA|ASIA)[A-Z0-9]{16}|(?:sk|pk|ghp|gho|xox[bp])[-_][A-Za-z0-9_-]{16,}|eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_.-]{10,})\b", _secret),
     "iban": (r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", _iban),
     "ip": (r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d.]*\d)", _ip),
-    "date": (r"(?<![\d/.-])(?:\d{4}([-/.])\d{2}\1\d{2}|\d{2}([-/.])\d{2}\2\d{4})(?![\d/-]|\.\d)", _date),
+    "date": (r"(?<![\d/.-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?![\d/-]|\.\d)", _date),
+    "date+": (rf"(?i)\b(?:(?:{_NAMES})\.? \d{{1,2}}(?:st|nd|rd|th)?,? \d{{4}}|\d{{1,2}}(?:st|nd|rd|th)? (?:{_NAMES}),? \d{{4}})\b(?!-\d)", _named_date),
     "ssn": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", _ssn),
     "phone+": (r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,14}(?:[ .-]\d{2,14}){0,5}(?![\w-])", _phone),
     "card": (r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])", _card),
@@ -183,7 +251,6 @@ FORMATS = {
 }
 _PATTERNS = [(kind.rstrip("+"), re.compile(p), f) for kind, (p, f) in FORMATS.items()]
 _ANY_DIGIT_OR_AT = re.compile(r"[0-9@]")
-_OLD_IBAN = re.compile(FORMATS["iban"][0])
 #: Groups that stand side by side; the numbers in them are looked for from group to group.
 _RUNS = {"iban": re.compile(r"\b[A-Z0-9]+(?: [A-Z0-9]+)*\b"), "card": re.compile(r"\d+(?:[ -]\d+)*")}
 _GROUP = re.compile(r"[A-Z0-9]+")
@@ -199,20 +266,14 @@ def _card_end(groups: list[str], i: int) -> int | None:
 
 
 def _iban_end(groups: list[str], i: int) -> int | None:
-    """Where an IBAN that starts with group i ends: at its country's length, else in groups of four at another."""
+    """Where an IBAN that starts with group i ends: at its country's length."""
     if not re.match(r"[A-Z]{2}\d{2}", groups[i]):
         return None
-    ends, n = {}, 0
+    length, n = IBAN_LENGTHS.get(groups[i][:2], 0), 0
     for j in range(i, len(groups)):
         n += len(groups[j])
-        if n > 34:
-            break
-        ends[n] = j + 1
-    exact = IBAN_LENGTHS.get(groups[i][:2])
-    for n in [exact] * (exact in ends) + [n for n in ends if n != exact]:
-        part = groups[i : ends[n]]
-        if 15 <= n and mod97("".join(part)) == 1 and (n == exact or _OLD_IBAN.fullmatch(" ".join(part))):
-            return ends[n]
+        if n >= length:
+            return j + 1 if n == length and mod97("".join(groups[i : j + 1])) == 1 else None
     return None
 
 
@@ -327,8 +388,9 @@ def _mapper(key: bytes, back: bool):
 def pseudonymise_table(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", back: bool = False) -> DataFrame:
     """(id, text, n_replaced, kinds): whole texts with pseudonyms of the same format.
 
-    Numbers are validated first (Luhn, mod 97, octets, calendar, number ranges); those that fail stay, as they
-    are no such values. A card or IBAN is found beside other numbers and words too: a card in one group or in the groups of
+    Numbers are validated first (Luhn and issuer, mod 97, octets, calendar, number ranges); those that fail stay, as they
+    are no such values. A day or a phone number has the same pseudonym in each of its notations (day first is assumed where month first
+    is possible too; a country code is part of the number). A card or IBAN is found beside other numbers and words too: a card in one group or in the groups of
     CARD_GROUPS, an IBAN at its country's length. Check digits are computed anew, so a pseudonym validates like its original,
     and the same value has the same pseudonym in every document under the same key, unless that would validate
     together with a number before it. With `back` and the key the mapping is

@@ -1,7 +1,10 @@
 """Edge cases of every operator on small fixtures: nulls, empty texts, ties, repeated rows, empty tables, extra columns."""
 
+import hashlib
 import html
 import random
+import re
+import time
 
 import numpy as np
 import pytest
@@ -236,6 +239,80 @@ def test_permutation_is_one_to_one():
         assert sorted(out) == list(range(size)) and [pii.permuted(y, size, b"k", "t", True) for y in out] == list(range(size))
 
 
+def test_notations_of_a_value_stay_linked():
+    digits = lambda t: "".join(c for c in t if c.isdigit())
+    phones = ["(017) 555-7713", "017-555-7713", "017.555.7713"]
+    new = [pii.pseudonymise(f"call {t} now", b"k")[0][5:-4] for t in phones]
+    assert len(set(map(digits, new))) == 1 and digits(new[0]) != "0175557713" and [len(x) for x in new] == [len(x) for x in phones]
+    days = ["2024-02-29", "2024/2/29", "29.02.2024", "02/29/2024", "29/2/2024", "Feb 29, 2024", "29 February 2024", "FEB 29th 2024"]
+    seen = set()
+    for d in days:
+        out, counts = pii.pseudonymise(f"on {d}.", b"k")
+        assert counts == {"date": 1} and d not in out and pii.pseudonymise(out, b"k", back=True)[0] == f"on {d}."
+        n = [int(x) for x in re.findall(r"\d+", out)]
+        word = re.search("[A-Za-z]{3,}", out[3:])
+        month = next(k for k, m in enumerate(pii.MONTHS, 1) if m[:3] == word[0][:3].lower()) if word else None
+        year, rest = max(n), sorted(set(n) - {max(n)})
+        seen.add((year, tuple(sorted({*rest, month} - {None}))))
+    assert len(seen) == 1
+    for text in ("May 5, 2024", "1 may 1999", "March 12, 2001", "30/02/2024", "Feb 30, 2024", "2024-13-01", "Octopus 12, 2024"):
+        out, counts = pii.pseudonymise(text, b"k")
+        assert pii.pseudonymise(out, b"k", back=True)[0] == text and bool(counts) == text.lower().startswith(("may", "1 may", "march"))
+
+
+def test_cards_need_an_issuer():
+    for d in ("4111111111111111", "5555555555554444", "378282246310005", "6011111111111117", "3530111333300000", "30569309025904"):
+        new, counts = pii.pseudonymise(d, b"k")
+        assert counts == {"card": 1} and new[:1] == d[:1] and pii._is_card(new) and pii.pseudonymise(new, b"k", back=True)[0] == d
+    body = "081099284724940"
+    assert pii.pseudonymise(body + str(pii.luhn(body)), b"k")[1] == {}, "no network has numbers that start with 0"
+
+
+def test_many_values_take_linear_time():
+    def seconds(n):
+        text = " ".join(f"on 2024-{k % 12 + 1:02d}-{k % 28 + 1:02d} from 10.{k % 250}.{k % 7}.1" for k in range(n))
+        at = time.perf_counter()
+        assert pii.pseudonymise(text, b"k")[1] == {"date": n, "ip": n}
+        return time.perf_counter() - at
+
+    seconds(100)
+    assert seconds(8000) < 6 * seconds(2000)
+
+
+def brute_pseudonyms(text, key):
+    """Tries every span of the text at every place, longest first, kind by kind, with the validators alone."""
+    taken, out = [False] * len(text), []
+    kinds = [("ip", pii._ip, r"(?:\d{1,3}\.){3}\d{1,3}"), ("date", pii._date, r"\d{4}-\d\d-\d\d"), ("ssn", pii._ssn, r"\d{3}-\d\d-\d{4}"), ("card", pii._card, r"\d{13,19}")]
+    for kind, change, shape in kinds:
+        at = 0
+        while at < len(text):
+            for end in range(min(len(text), at + 40), at, -1):
+                span = text[at:end]
+                beside = text[at - 1 : at], text[end : end + 1]
+                if re.fullmatch(shape, span) and not any(c.isdigit() or c in "-." and c for c in beside) and not any(taken[at:end]) and (new := change(span, key, False)):
+                    out.append((at, end, new))
+                    taken[at:end] = [True] * (end - at)
+                    break
+            at += 1
+    for a, b, new in sorted(out, reverse=True):
+        text = text[:a] + new + text[b:]
+    return text, len(out)
+
+
+def test_whole_query_matches_brute_force(spark):
+    r, rows = random.Random(8), []
+    card = lambda: (b := "4" + "".join(str(r.randrange(10)) for _ in range(14))) + str(pii.luhn(b))
+    for i in range(60):
+        parts = words(r.randrange(5, 30), i)
+        for _ in range(r.randrange(0, 5)):
+            value = r.choice([card(), f"{r.randrange(300)}.{r.randrange(300)}.{r.randrange(256)}.{r.randrange(256)}", f"20{r.randrange(10, 30)}-{r.randrange(1, 14):02d}-{r.randrange(1, 32):02d}", f"{r.randrange(1000):03d}-{r.randrange(100):02d}-{r.randrange(10000):04d}", str(10**15 + r.randrange(10**15))])
+            parts.insert(r.randrange(len(parts)), value)
+        rows.append((i, " ".join(parts)))
+    key = hashlib.sha256(b"k").digest()
+    got = {x.doc_id: (x.text, x.n_replaced) for x in pii.pseudonymise_table(docs(spark, rows), "k").collect()}
+    assert got == {i: brute_pseudonyms(t, key) for i, t in rows} and sum(n for _, n in got.values()) > 40
+
+
 def test_pseudonym_table(spark):
     rows = docs(spark, [(1, f"a {SAMPLES['card']}"), (2, f"b {SAMPLES['card']}"), (3, None), (None, ""), (1, "x " * 50_000 + SAMPLES["ip"])])
     got = pii.pseudonymise_table(rows.withColumn("kinds", F.lit(0)), "k").collect()
