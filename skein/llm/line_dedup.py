@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace
+from .common import Workspace, inside, packed, small
 
 WINDOW = 3
 
@@ -31,7 +31,7 @@ def dedup_lines(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text_col
 
     Null text: null, with no lines. Fewer than three lines: unchanged. Windows of blank lines alone don't count.
     A null id takes no part and keeps its text. Rows that share an id count as one document and lose the same
-    lines. If all lines go, the text is empty. Other columns pass through.
+    lines. If all lines go, the text is empty. Other columns pass through, whatever their names; n_lines and n_removed are replaced.
     """
     all_windows = windows(docs, id_col, text_col)
     # A hot window is one row for each task after partial aggregation. Written, so that the join below has a plain
@@ -41,14 +41,20 @@ def dedup_lines(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text_col
     covered = ws.put("covered", later.groupBy(F.col("_id")).agg(F.collect_set("_pos").alias("_starts")))
     ws.drop("repeated")
     gone = F.array_distinct(F.flatten(F.transform("_starts", lambda p: F.sequence(p, p + WINDOW - 1))))
-    lines = F.split(F.col(text_col), "\n")
-    out = docs.join(covered.hint("merge"), F.col(id_col) == F.col("_id"), "left").withColumn("_lines", lines).withColumn("_gone", F.coalesce(gone, F.array().cast("array<int>")))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    kept = F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")
-    n_lines = F.when(F.col("_lines").isNull(), 0).otherwise(F.size("_lines"))
-    n_gone = F.when(F.col("_lines").isNull(), 0).otherwise(F.size(F.array_intersect("_gone", F.sequence(F.lit(0), F.size("_lines") - 1))))
-    text = F.when(F.col("_lines").isNotNull() & (F.size("_gone") > 0), kept).otherwise(F.col(text_col))
-    return out.withColumns({"n_lines": n_lines, "n_removed": n_gone, text_col: text}).drop("_id", "_starts", "_lines", "_gone")
+    text = inside(text_col)
+    # few documents change: a short list of them is broadcast, so that no text moves; a long one is merged
+    out = packed(docs).join(small(covered), inside(id_col) == F.col("_id"), "left")
+    out = out.withColumns({"_lines": F.split(text, "\n"), "_gone": F.coalesce(gone, F.array().cast("array<int>"))})
+    all_lines = F.sequence(F.lit(0), F.size("_lines") - 1)
+    kept = F.array_join(F.transform(F.array_except(all_lines, F.col("_gone")), lambda i: F.get("_lines", i)), "\n")
+    added = {
+        text_col: F.when(F.col("_lines").isNotNull() & (F.size("_gone") > 0), kept).otherwise(text),
+        "n_lines": F.when(F.col("_lines").isNull(), 0).otherwise(F.size("_lines")),
+        "n_removed": F.when(F.col("_lines").isNull(), 0).otherwise(F.size(F.array_intersect("_gone", all_lines))),
+    }
+    others = [inside(c).alias(c) for c in docs.columns if c.lower() not in {a.lower() for a in added}]
+    out = out.select("_in", F.struct(*[c.alias(n) for n, c in added.items()]).alias("_new"))
+    return out.select(*others, *[F.col(f"_new.{n}").alias(n) for n in added])
 
 
 ORACLE = """

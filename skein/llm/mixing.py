@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, running, small
+from .common import Workspace, inside, running, small
 
 LEVELS = ("domain", "lang", "source")
 #: Target weights of children by the path of their parent; a child not named weighs DEFAULT_WEIGHT.
@@ -99,6 +99,9 @@ def mix(ws: Workspace, docs: DataFrame, total_fraction: float = 0.5, epochs: int
     counts = taken.groupBy("_id", "_leaf", "_tokens").agg(F.max("n_copies").alias("n_copies")).filter("n_copies > 0")
     counts = ws.put("copies", counts.select(F.col("_id").alias("_cid"), F.col("_leaf").alias("_cleaf"), F.col("_tokens").alias("_ctokens"), "n_copies"))
     ws.drop("epoch", "tokens")
-    base = docs.drop("domain", "n_tokens", "n_copies")
-    keyed = base.withColumns({"domain": path[0], "n_tokens": token_count(F.col(text_col)), "_leaf": leaf, "_id": F.coalesce(F.col(id_col).cast("string"), F.lit(""))})
-    return keyed.join(counts.hint("merge"), (F.col("_id") == F.col("_cid")) & (F.col("_leaf") == F.col("_cleaf")) & (F.col("n_tokens") == F.col("_ctokens"))).drop("_id", "_leaf", "_cid", "_cleaf", "_ctokens")
+    added = {"domain", "n_tokens", "n_copies"}
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in"), path[0].alias("_domain"), token_count(F.col(text_col)).alias("_tokens"), leaf.alias("_leaf"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_id"))
+    # half of all documents and more are taken: both sides move
+    joined = rows.join(counts.hint("merge"), (F.col("_id") == F.col("_cid")) & (F.col("_leaf") == F.col("_cleaf")) & (F.col("_tokens") == F.col("_ctokens")))
+    others = [inside(c).alias(c) for c in docs.columns if c.lower() not in added]
+    return joined.select(*others, F.col("_domain").alias("domain"), F.col("_tokens").alias("n_tokens"), "n_copies")

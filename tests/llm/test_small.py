@@ -406,7 +406,10 @@ def test_mixing_matches_brute_force(spark, ws):
 
     rows = [(i, " ".join(words(5 + i % 17, i)), ["en", "de", None][i % 3], f"src{i % 5}", 0) for i in range(120)] + [(500, None, "en", "src1", 0), (501, "  ", "en", "src1", 0), (None, "some words here", "en", None, 0)]
     df = spark.createDataFrame(rows, DOCS)
-    got = {r.doc_id: r.n_copies for r in mixing.mix(ws, df.withColumn("domain", F.lit(1)), 0.7, 2).collect()}
+    clashing = df.withColumns({n: F.lit(1) for n in ("domain", "_id", "_leaf", "_cid", "_tokens", "_in")})
+    mixed = mixing.mix(ws, clashing, 0.7, 2)
+    assert set(mixed.columns) == {*clashing.columns, "n_tokens", "n_copies"} and mixed.filter("_id <> 1 or _leaf <> 1").count() == 0
+    got = {r.doc_id: r.n_copies for r in mixed.collect()}
     leaves = {}
     for i, t, lang, source, _ in rows:
         if t and t.split():
@@ -423,6 +426,8 @@ def test_mixing_matches_brute_force(spark, ws):
             at += n
     assert got == want
     assert mixing.mix(Workspace(spark, "e"), df.limit(0)).count() == 0
+    twice = docs(spark, [(1, "a b c"), (1, "a b c"), (2, "w " * 200_000), (3, "d")])
+    assert sorted((r.doc_id, r.n_tokens) for r in mixing.mix(Workspace(spark, "r"), twice, 1.0, 1).collect()) == [(1, 3), (1, 3), (2, 200_000), (3, 1)]
 
 
 # ---- 6
@@ -454,7 +459,10 @@ def test_classifier_learns_from_passages_and_never_from_held_out_labels(spark):
 
 def test_shards_are_even_gapless_and_keep_groups(spark, ws):
     texts = [(i, f"copy {i % 20}" if i < 100 else f"single {i}") for i in range(1000)] + [(None, None), (None, None), (5, "copy 5"), (5, "copy 5")]
-    out = sharding.assignments(ws, docs(spark, texts).withColumn("shard", F.lit("x"))).collect()
+    clashing = docs(spark, texts).withColumns({n: F.lit("x") for n in ("shard", "_row", "_id", "_key", "_group", "_shard", "_slot", "_in", "before")})
+    kept = sharding.shard_documents(Workspace(spark, "c"), clashing)
+    assert kept.columns == [*(c for c in clashing.columns if c != "shard"), "shard", "slot"] and kept.filter("_row = 'x' and before = 'x'").count() == len(texts)
+    out = sharding.assignments(ws, clashing).collect()
     assert len(out) == len(texts)
     shards = {}
     for r in out:
@@ -467,9 +475,20 @@ def test_shards_are_even_gapless_and_keep_groups(spark, ws):
             groups.setdefault(r.text_crc32, set()).add(r.shard)
     assert sum(len(s) - 1 for s in groups.values()) <= 2
     assert {(r.size, r.text_crc32) for r in out if r.doc_id is None} == {(1, 0)}
+    where = {}
+    for r in out:
+        where.setdefault((r.size, r.text_crc32), []).append(r.shard)
+    assert all(r.n_cut == sum(s != r.shard for s in where[r.size, r.text_crc32]) for r in out)
     assert sharding.assignments(Workspace(spark, "e"), docs(spark, texts).limit(0)).count() == 0
 
 
+def test_one_row_repeated_very_often_and_a_very_long_text(spark, ws):
+    rows = docs(spark, [(1, "same")] * 3000 + [(2, "x " * 300_000), (3, "y")])
+    out = sharding.assignments(ws, rows).collect()
+    sizes = np.bincount([r.shard for r in out], minlength=16)
+    assert len(out) == 3002 and sizes.max() - sizes.min() <= 1 and len({(r.shard, r.slot) for r in out}) == 3002
+
+
 def test_a_group_larger_than_a_shard_is_split(spark, ws):
     rows = spark.range(300).select(F.col("id").alias("_row"), F.when(F.col("id") < 120, "g").alias("_group"))
     got = sharding.shard_rows(ws, rows, 6)
@@ -495,11 +514,17 @@ def test_line_windows(spark, ws):
     a = "l1\nl2\nl3\nl4\nl5"
     texts = [(1, a), (2, "x\n" + a + "\ny"), (3, "l1\nl2"), (4, None), (5, ""), (6, a + "\n" + a), (None, a), (7, "\n\n\n"), (8, "\n\n\n"), (9, a), (9, a)]
     got = {}
-    for r in line_dedup.dedup_lines(ws, docs(spark, texts).withColumn("_x", F.lit(1)).withColumn("n_lines", F.lit("clash"))).collect():
+    clashing = docs(spark, texts).withColumns({n: F.lit("clash") for n in ("_id", "_starts", "_lines", "_gone", "_in", "n_lines")})
+    out = line_dedup.dedup_lines(ws, clashing)
+    assert set(out.columns) == {*clashing.columns, "n_removed"} and out.filter("_lines = 'clash' and _id = 'clash'").count() == len(texts)
+    for r in out.collect():
         got[r.doc_id] = (r.n_lines, r.n_removed, r.text)
     assert got[1] == (5, 0, a) and got[2] == (7, 5, "x\ny") and got[3] == (2, 0, "l1\nl2") and got[4] == (0, 0, None) and got[5] == (1, 0, "")
     assert got[6] == (10, 10, "") and got[None][2] == a and got[7] == got[8] == (4, 0, "\n\n\n") and got[9] == (5, 5, "")
     assert line_dedup.dedup_lines(Workspace(spark, "e"), docs(spark, texts).limit(0)).count() == 0
+    long = "\n".join(f"line {i}" for i in range(40_000))
+    got = {r.doc_id: (r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(Workspace(spark, "l"), docs(spark, [(1, long), (2, "new\n" + long)])).collect()}
+    assert got == {1: (40_000, 0), 2: (40_001, 40_000)}
 
 
 # ---- 9
