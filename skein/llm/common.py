@@ -114,6 +114,19 @@ def renumbered(ws: Workspace, name: str, df: DataFrame) -> tuple[DataFrame, Data
     return ws.put(f"{name}_rows", df.withColumnRenamed("_id", "_name").join(names, "_name", "left").select("_id", *columns)), names
 
 
+def block_pairs(rows: DataFrame, first: Column, n_first: Column, n_second: Column, key: str) -> DataFrame:
+    """One row for each pair of blocks (_i, _j), _i <= _j, that a row takes part in, on _side 0 (block _i) or 1 (block _j).
+
+    Rows of the first kind are dealt by a hash of `key` over n_first blocks, those of the second kind over n_second further
+    ones. First blocks meet each other and themselves once, and all second blocks; second blocks don't meet each other.
+    """
+    own = F.pmod(F.xxhash64(key), F.greatest(F.when(first, n_first).otherwise(n_second), F.lit(1))).cast("int")
+    rows = rows.withColumn("_block", F.when(first, own).otherwise(own + n_first).cast("int"))
+    left = rows.filter(first).withColumns({"_i": F.col("_block"), "_j": F.explode(F.sequence(F.col("_block"), n_first + n_second - 1)), "_side": F.lit(0)})
+    right = rows.filter((F.col("_block") > 0) & (n_first > 0)).withColumns({"_j": F.col("_block"), "_i": F.explode(F.sequence(F.lit(0), F.least(F.col("_block"), n_first) - 1)), "_side": F.lit(1)})
+    return left.unionByName(right)
+
+
 def components(ws: Workspace, name: str, edges: DataFrame) -> DataFrame:
     """Connected components of (a, b) long edges: (node, label), label the smallest node of the component.
 

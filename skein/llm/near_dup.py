@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, components, small
+from .common import Workspace, block_pairs, components, fresh, renumbered, running, small
 
 REGISTERS, BAND, BASE, LEVELS = 190, 5, 1.02, 4000
 WORDS, PERCENT = 4, 80
@@ -137,7 +137,8 @@ def _likely_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array([shingle_set(t).tobytes() for t in b.column("_text").to_pylist()], pa.binary())], ["_id", "_set"])
+        sets = [shingle_set(t).tobytes() for t in b.column("_text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array(map(xxhash.xxh3_128_digest, sets), pa.binary()), pa.array(sets, pa.binary())], ["_id", "_print", "_set"])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,13 +155,8 @@ def _alike(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(x) + len(y) - both)
 
 
-def _blocks_joined(key: tuple, table: pa.Table) -> pa.Table:
-    """Links between components in one pair of blocks: pairs that share a band, pass the estimate and then the exact
-    check on whole sets. Once two components are linked here, their other pairs needn't be tried."""
-    same = key[1].as_py() == key[2].as_py()
-    rep, label, block = (table.column(c).to_numpy() for c in ("_rep", "_label", "_block"))
-    sketches, sets = _rows(table.column("_sketch").combine_chunks()), [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("_set")]
-    size, keys = np.array([len(x) for x in sets], float), band_keys(sketches)
+def _sharing(keys: np.ndarray, label: np.ndarray, allowed) -> np.ndarray:
+    """Codes of the pairs (i < j, i * rows + j) of different components that share a band, of those that `allowed` lets through."""
     codes = []
     for band in range(keys.shape[1]):
         order = np.argsort(keys[:, band], kind="stable")
@@ -169,11 +165,35 @@ def _blocks_joined(key: tuple, table: pa.Table) -> pa.Table:
             if len(run) > 1 and len(np.unique(label[run])) > 1:
                 i, j = (run[k] for k in np.triu_indices(len(run), 1))
                 i, j = np.minimum(i, j), np.maximum(i, j)
-                use = (label[i] != label[j]) & (same | (block[i] != block[j]))
-                codes.append(np.unique(i[use] * len(rep) + j[use]))
+                use = (label[i] != label[j]) & allowed(i, j)
+                codes.append(np.unique(i[use] * len(keys) + j[use]))
+    return np.unique(np.concatenate(codes)) if codes else np.empty(0, np.int64)
+
+
+def _first_sharing(keys: np.ndarray, bucket: int, label: np.ndarray, allowed) -> np.ndarray:
+    """Codes of the pairs of different components for which this bucket is the first that they share; all rows are in it."""
+    band = int(np.flatnonzero((keys.view(np.int64) == bucket).all(axis=0))[0])
+    i, j = np.triu_indices(len(keys), 1)
+    use = (label[i] != label[j]) & allowed(i, j)
+    i, j = i[use], j[use]
+    for before in range(band):
+        new = keys[i, before] != keys[j, before]
+        i, j = i[new], j[new]
+    return i * len(keys) + j
+
+
+def _blocks_joined(key: tuple, table: pa.Table) -> pa.Table:
+    """Links between components in one pair of blocks: pairs that share a band, pass the estimate and then the exact
+    check on whole sets. Once two components are linked here, their other pairs needn't be tried."""
+    same = key[2].as_py() == key[3].as_py()
+    rep, label, block = (table.column(c).to_numpy() for c in ("_rep", "_label", "_block"))
+    sketches, sets = _rows(table.column("_sketch").combine_chunks()), [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("_set")]
+    size, keys = np.array([len(x) for x in sets], float), band_keys(sketches)
+    allowed = lambda i, j: same | (block[i] != block[j])
+    codes = _first_sharing(keys, key[1].as_py(), label, allowed) if key[0].as_py() else _sharing(keys, label, allowed)
     links = []
-    if codes:
-        i, j = np.divmod(np.unique(np.concatenate(codes)), len(rep))
+    if len(codes):
+        i, j = np.divmod(codes, len(rep))
         parent = {x: x for x in label.tolist()}
 
         def find(x: int) -> int:
@@ -199,68 +219,97 @@ def _confirm(ws: Workspace, pairs: DataFrame, reps: DataFrame, texts: DataFrame)
     near = pairs.hint("merge").join(side("a"), "_a").join(side("b").hint("merge"), "_b").filter((F.col("_na") * 100 >= F.col("_nb") * PERCENT) & (F.col("_nb") * 100 >= F.col("_na") * PERCENT))
     near = near.mapInArrow(_likely_pairs, "_a long, _b long, _estimate double").groupBy("_a").agg(F.max_by("_b", "_estimate").alias("_b"))
     near = ws.put("near", near)
-    sets = _sets_of(ws, "star_sets", near.select("_a").unionByName(near.select(F.col("_b").alias("_a"))).distinct(), texts)
-    a, b = (sets.select(F.col("_id").alias(f"_{x}"), F.col("_set").alias(f"_x{x}")) for x in "ab")
+    sets = _sets_of(ws, "star_sets", near.select("_a").unionByName(near.select(F.col("_b").alias("_a"))).distinct(), reps, texts)
+    a, b = (sets.select(F.col("_rep").alias(f"_{x}"), F.col("_set").alias(f"_x{x}")) for x in "ab")
     links = ws.put("star_links", near.hint("merge").join(a, "_a").join(b.hint("merge"), "_b").mapInArrow(_verified, "_a long, _b long"))
     ws.drop("near", "star_sets")
     return links
 
 
-def _sets_of(ws: Workspace, name: str, ids: DataFrame, texts: DataFrame) -> DataFrame:
-    """(_id, _set) of the texts with these ids (a column of any name)."""
-    needed = ws.put(f"{name}_ids", ids.toDF("_id"))
-    sets = ws.put(name, texts.join(small(needed, 16), "_id", "left_semi").mapInArrow(_sets, "_id long, _set binary"))
+def _sets_of(ws: Workspace, name: str, nodes: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """(_rep, _set) of these nodes (a column of any name), from one of their texts each."""
+    needed = ws.put(f"{name}_ids", nodes.toDF("_rep").join(reps.select("_rep", "_id", "_print").hint("merge"), "_rep"))
+    ids = small(needed.select("_id").distinct())
+    sets = texts.join(ids, "_id", "left_semi").mapInArrow(_sets, "_id long, _print binary, _set binary")
+    found = ws.put(name, sets.join(small(needed), ["_id", "_print"]).select("_rep", "_set").dropDuplicates(["_rep"]))
     ws.drop(f"{name}_ids")
-    return sets
+    return found
 
 
 #: A block of the last step holds about so many texts, or so many shingles if they are long.
 BLOCK_TEXTS, BLOCK_SHINGLES = 512, 2_000_000
+#: A cluster of more blocks is joined bucket by bucket.
+CLUSTER_BLOCKS = 8
+
 
+def _pools(pools: DataFrame) -> DataFrame:
+    """Adds to texts of pools (_mode, _pool, _rep, _label, _n) whether they belong to the pool's commonest component, and
+    how many blocks both kinds need. Texts of the same component needn't meet, so the commonest one meets the others alone."""
+    by_label = pools.groupBy("_mode", "_pool", "_label").agg(F.count(F.lit(1)).alias("_k"), F.sum("_n").alias("_s"))
+    top = by_label.groupBy("_mode", "_pool").agg(F.max(F.struct("_k", "_s", "_label")).alias("_top"), F.sum("_k").alias("_k"), F.sum("_s").alias("_s"))
+    blocks = lambda k, s: F.greatest(F.ceil(k / BLOCK_TEXTS), F.ceil(s / BLOCK_SHINGLES)).cast("int")
+    sizes = top.select("_mode", "_pool", F.col("_top._label").alias("_main"), blocks(F.col("_k") - F.col("_top._k"), F.col("_s") - F.col("_top._s")).alias("_others"), blocks(F.col("_top._k"), F.col("_top._s")).alias("_mains"))
+    return pools.join(sizes, ["_mode", "_pool"]).withColumn("_other", F.col("_label") != F.col("_main"))
 
-def _between(ws: Workspace, labelled: DataFrame, members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links between components that share buckets.
 
-    Texts that share mixed buckets, directly or through others, form a cluster. A cluster is cut into blocks, and each
-    pair of blocks is joined in one task of bounded size; pairs never leave the task, only links do.
+def _between(ws: Workspace, reps: DataFrame, labels: DataFrame, members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between components that share buckets, from the members (_key, _rep) of buckets with several components.
+
+    Texts that share mixed buckets, directly or through others, form a cluster. A cluster of few blocks is one pool: each of its
+    texts is moved to CLUSTER_BLOCKS tasks at most. Of larger clusters each bucket is a pool of its own, so a text is moved
+    once for each of its buckets and blocks of them, not for all blocks of its cluster. In a pool each pair of blocks is
+    joined in one task of bounded size; pairs never leave the task, only links do.
     """
-    hubs = members.groupBy("_key").agg(F.min("_rep").alias("_hub"))
-    clusters = components(ws, "cl", members.join(ws.put("hubs", hubs), "_key").select(F.col("_rep").alias("a"), F.col("_hub").alias("b")).distinct())
+    hubs = ws.put("hubs", members.groupBy("_key").agg(F.min("_rep").alias("_hub")))
+    clusters = components(ws, "cl", members.join(hubs, "_key").select(F.col("_rep").alias("a"), F.col("_hub").alias("b")).distinct())
     # components() names all but the smallest of a cluster
-    named = ws.put("clusters", clusters.unionByName(clusters.select(F.col("label").alias("node"), "label").distinct()))
-    sets = _sets_of(ws, "rest_sets", named.select("node"), texts)
-    rows = named.hint("merge").join(labelled.select(F.col("_rep").alias("node"), "_label", "_n", "_sketch"), "node").join(sets.withColumnRenamed("_id", "node").dropDuplicates(["node"]).hint("merge"), "node")
-    counts = named.hint("merge").join(labelled.select(F.col("_rep").alias("node"), "_n"), "node").groupBy("label")
-    counts = ws.put("blocks", counts.agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum("_n") / BLOCK_SHINGLES)).cast("int").alias("_blocks")))
-    placed = rows.join(counts, "label").withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
-    pairs = placed.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    pairs = pairs.select("label", F.least("_block", "_with").alias("_i"), F.greatest("_block", "_with").alias("_j"), F.col("node").alias("_rep"), "_label", "_block", "_sketch", "_set")
-    links = ws.put("rest_links", pairs.groupBy("label", "_i", "_j").applyInArrow(_blocks_joined, "_a long, _b long"))
-    ws.drop("hubs", "clusters", "rest_sets", "blocks")
+    named = clusters.unionByName(clusters.select(F.col("label").alias("node"), "label").distinct()).select(F.col("node").alias("_rep"), F.col("label").alias("_pool"))
+    known = named.hint("merge").join(reps.select("_rep", "_n"), "_rep").join(labels, F.col("_rep") == F.col("node"), "left")
+    tagged = ws.put("clusters", known.select(F.lit(0).alias("_mode"), "_pool", "_rep", F.coalesce("label", "_rep").alias("_label"), "_n"))
+    wide = F.col("_others") + F.col("_mains") > CLUSTER_BLOCKS
+    pools = ws.put("pools", _pools(tagged))
+    large = pools.filter(wide).select("_rep", "_label", "_n")
+    if large.limit(1).count():
+        buckets = _pools(members.join(large, "_rep").select(F.lit(1).alias("_mode"), F.col("_key").alias("_pool"), "_rep", "_label", "_n"))
+        pools = ws.put("all_pools", pools.filter(~wide).unionByName(buckets.select(pools.columns)))
+    # a pool of one component has nothing to join
+    pools = pools.filter("_others > 0")
+    sets = _sets_of(ws, "rest_sets", pools.select("_rep").distinct(), reps, texts)
+    rows = block_pairs(pools, F.col("_other"), F.col("_others"), F.col("_mains"), "_rep").select("_mode", "_pool", "_i", "_j", "_block", "_label", "_rep")
+    rows = rows.hint("merge").join(reps.select("_rep", "_sketch"), "_rep").join(sets.hint("merge"), "_rep")
+    links = ws.put("rest_links", rows.groupBy("_mode", "_pool", "_i", "_j").applyInArrow(_blocks_joined, "_a long, _b long"))
+    ws.drop("hubs", "clusters", "pools", "all_pools", "rest_sets")
     return links
 
 
 def near_duplicates(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): components of texts whose shingle sets have Jaccard 0.8 or more.
 
-    1. Every text becomes a set, a fingerprint and 190 registers. Equal sets collapse into their smallest id.
+    1. Every text becomes a set, a fingerprint and 190 registers. Equal sets collapse into one node.
     2. 38 bands of 5 registers give bucket keys; a pair at 0.8 shares none with probability (1 - 0.8^5)^38, 3e-7.
-    3. Each member of a bucket is paired with the bucket's smallest id. Of the pairs that the likelihood estimate
+    3. Each member of a bucket is paired with the bucket's smallest node. Of the pairs that the likelihood estimate
        doesn't rule out (5.5 standard errors) each text's likeliest is verified on whole sets.
     4. Buckets that still hold several components: their texts are joined block by block inside tasks, where
        pairs of different components that share a band are estimated and verified. So every pair of a bucket
        lies inside one component or is verified, and copies that step 3 has linked cost nothing more.
 
     A null or blank text has an empty set and is linked with nothing. A null id is linked with nothing: component null, kept
-    true. Rows that share an id are one document if their sets are equal; each is returned. Other
-    columns are ignored.
+    true. Rows that share an id are documents of their own where their sets differ; each row is returned, with the
+    component of its own set. Ids of any type with an order will do; those that aren't whole numbers are numbered in their order
+    first, which moves the texts once. Other columns are ignored.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
+    texts, names = renumbered(ws, "ids", docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")))
     all_sets = ws.put("sketches", texts.mapInArrow(_sketches, "_id long, _n long, _print binary, _sketch binary"))
     known = all_sets.filter("_n > 0 and _id is not null")
-    classes = ws.put("classes", known.groupBy("_print").agg(F.min("_id").alias("_rep")))
-    first = classes.select(F.col("_rep").alias("_id"), "_print")
-    reps = ws.put("reps", known.join(first.hint("merge"), ["_id", "_print"], "left_semi").select(F.col("_id").alias("_rep"), "_n", "_sketch").dropDuplicates(["_rep"]))
+    classes = ws.put("classes", known.groupBy("_print").agg(F.min("_id").alias("_id")))
+    # a node is the smallest id of its set; where sets share that id, their places in the order of ids serve as nodes
+    shared = classes.groupBy("_id").agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1").limit(1).count() > 0
+    if shared:
+        ranked = running(ws, "ranked", classes.withColumn("_all", F.lit(0)), "_all", ["_id", "_print"], F.lit(1))
+        nodes = ws.put("nodes", ranked.select("_print", "_id", F.col("before").alias("_rep")))
+    else:
+        nodes = classes.withColumn("_rep", F.col("_id"))
+    reps = ws.put("reps", known.join(nodes.hint("merge"), ["_id", "_print"]).select("_rep", "_id", "_print", "_n", "_sketch").dropDuplicates(["_rep"]))
 
     bands = reps.withColumn("_label", F.col("_rep")).mapInArrow(_bands, "_key long, _rep long, _label long").select("_key", "_rep")
     hubs = ws.put("hubs", bands.groupBy("_key").agg(F.min("_rep").alias("_hub"), F.max("_rep").alias("_last")).filter("_hub < _last").drop("_last"))
@@ -270,26 +319,31 @@ def near_duplicates(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text
     ws.drop("stars")
     labels = ws.put("labels", components(ws, "cc", links.select(F.col("_a").alias("a"), F.col("_b").alias("b"))))
 
-    labelled = reps.join(labels.hint("merge"), F.col("_rep") == F.col("node"), "left").select("_rep", F.coalesce("label", "_rep").alias("_label"), "_n", "_sketch")
+    labelled = reps.join(labels.hint("merge"), F.col("_rep") == F.col("node"), "left").select("_rep", F.coalesce("label", "_rep").alias("_label"), "_sketch")
     bands = labelled.mapInArrow(_bands, "_key long, _rep long, _label long")
     mixed = ws.put("mixed", bands.groupBy("_key").agg(F.min("_label").alias("_x"), F.max("_label").alias("_y")).filter("_x < _y").select("_key"))
-    members = ws.put("members", bands.join(mixed.hint("merge"), "_key"))
-    more = _between(ws, labelled, members, texts)
+    members = ws.put("members", bands.join(mixed.hint("merge"), "_key").select("_key", "_rep"))
+    more = _between(ws, reps, labels, members, texts)
     ws.drop("mixed", "members")
     labels = ws.put("labels2", components(ws, "cd", links.unionByName(more).select(F.col("_a").alias("a"), F.col("_b").alias("b"))))
     ws.drop("labels")
 
-    found = ws.put("found", classes.join(labels, F.col("_rep") == F.col("node"), "left").select(F.col("_print").alias("_p"), F.coalesce("label", "_rep").alias("_component")))
+    found = nodes.join(labels, F.col("_rep") == F.col("node"), "left").select(F.col("_print").alias("_p"), F.coalesce("label", "_rep").alias("_component"))
+    if shared:
+        found = found.join(nodes.select(F.col("_rep").alias("_component"), F.col("_id").alias("_named")), "_component").select("_p", F.col("_named").alias("_component"))
+    found = ws.put("found", found)
     out = all_sets.select("_id", "_n", "_print").join(found.hint("merge"), (F.col("_print") == F.col("_p")) & (F.col("_n") > 0) & F.col("_id").isNotNull(), "left")
-    component = F.coalesce("_component", "_id")
-    out = out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("_id") == component, F.lit(True)).alias("kept"))
-    out = ws.put("result", out)
-    ws.drop("sketches", "classes", "reps", "found", "labels2", "star_links", "rest_links")
+    out = out.select("_id", "_n", F.coalesce("_component", "_id").alias("_component")).withColumn("_kept", F.coalesce(F.col("_id") == F.col("_component"), F.lit(True)))
+    if names is not None:
+        out = out.join(names, "_id", "left").drop("_id").withColumnRenamed("_name", "_id")
+        out = out.join(names.toDF("_component", "_name"), "_component", "left").drop("_component").withColumnRenamed("_name", "_component")
+    out = ws.put("result", out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), F.col("_component").alias("component_id"), F.col("_kept").alias("kept")))
+    ws.drop("sketches", "classes", "ranked", "nodes", "reps", "found", "labels2", "star_links", "rest_links", "ids", "ids_rows")
     return out
 
 
 def keep_one(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the documents whose component has a smaller id. Rows with a null id stay."""
-    gone = near_duplicates(ws, docs, id_col, text_col).filter("not kept").select(F.col(id_col).alias("_gone"))
-    return docs.join(gone.hint("merge"), F.col(id_col) == F.col("_gone"), "left_anti")
-
+    """docs without the documents whose component has a smaller id. Rows with a null id stay; rows that share an id go
+    together, if one of them is a copy."""
+    gone = near_duplicates(ws, docs, id_col, text_col).filter("not kept").select(F.col(id_col).alias(out := fresh("_gone", docs))).distinct()
+    return docs.join(small(gone), F.col(id_col) == F.col(out), "left_anti")

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, components, renumbered
+from .common import Workspace, block_pairs, components, renumbered
 
 COSINE = 0.9
 #: Pivots come from a bounded sample; they only steer the partitioning, the join is exact for any pivots.
@@ -205,20 +205,11 @@ def placed(ws: Workspace, reps: DataFrame, cosine: float) -> DataFrame:
 
 
 def tasks(present: DataFrame) -> DataFrame:
-    """One row for each pair of blocks (_i, _j) of a cell in which a vector takes part, on side 0 or 1.
-
-    Blocks of homes come first, then those of guests; a pair of blocks is joined once, a block with itself too.
-    """
+    """The pairs of blocks of each cell in which a vector takes part: homes meet each other and the guests."""
     blocks = lambda c: F.ceil(c / BLOCK).cast("int")
     sizes = present.groupBy("_dim", "_cell").agg(blocks(F.count_if("_home")).alias("_hb"), blocks(F.count_if(~F.col("_home"))).alias("_gb"))
     sized = present.join(F.broadcast(sizes), ["_dim", "_cell"])  # one row for each pivot
-    own = F.pmod(F.xxhash64("_rep"), F.greatest(F.when(F.col("_home"), F.col("_hb")).otherwise(F.col("_gb")), F.lit(1))).cast("int")
-    sized = sized.withColumn("_b", own)
-    columns = ["_dim", "_cell", "_i", "_j", "_side", "_rep", "_n", "_raw"]
-    left = sized.filter("_home").withColumns({"_i": F.col("_b"), "_j": F.explode(F.sequence(F.col("_b"), F.col("_hb") + F.col("_gb") - 1)), "_side": F.lit(0)})
-    right = sized.filter("_home and _b > 0").withColumns({"_j": F.col("_b"), "_i": F.explode(F.sequence(F.lit(0), F.col("_b") - 1)), "_side": F.lit(1)})
-    guests = sized.filter("not _home and _hb > 0").withColumns({"_j": F.col("_hb") + F.col("_b"), "_i": F.explode(F.sequence(F.lit(0), F.col("_hb") - 1)), "_side": F.lit(1)})
-    return left.select(columns).unionByName(right.select(columns)).unionByName(guests.select(columns))
+    return block_pairs(sized, F.col("_home"), F.col("_hb"), F.col("_gb"), "_rep").select("_dim", "_cell", "_i", "_j", "_side", "_rep", "_n", "_raw")
 
 
 def pruned(present: DataFrame) -> dict[str, float]:

@@ -2,6 +2,7 @@
 
 import hashlib
 import html
+import os
 import random
 import re
 import time
@@ -549,9 +550,10 @@ def brute_groups(texts):
     return {i: (len(sets[i]), label[i]) for i in sets}
 
 
-@pytest.mark.parametrize("block", [7, 512])
-def test_near_duplicates_match_brute_force(spark, ws, monkeypatch, block):
+@pytest.mark.parametrize("block, few", [(7, 8), (7, 0), (3, 2), (512, 8)])
+def test_near_duplicates_match_brute_force(spark, ws, monkeypatch, block, few):
     monkeypatch.setattr(near_dup, "BLOCK_TEXTS", block)
+    monkeypatch.setattr(near_dup, "CLUSTER_BLOCKS", few)
     r, texts = random.Random(9), []
     for g in range(25):
         base = words(r.randrange(30, 160), g)
@@ -561,12 +563,57 @@ def test_near_duplicates_match_brute_force(spark, ws, monkeypatch, block):
                 w[r.randrange(len(w))] = f"z{r.randrange(10**6)}"
             texts.append((g * 100 + k, " ".join(w)))
             base = w if g % 3 == 0 else base  # chains, whose ends aren't alike
-    texts += [(9000, None), (9001, ""), (9002, "A b"), (9003, "a  B"), (9004, "a b c"), (9005, "  x"), (9006, " x")]
-    out = near_dup.near_duplicates(ws, docs(spark, [*texts, (None, "a b c"), (9004, "a b c")]).withColumn("kept", F.lit(1))).collect()
+    texts += [(9000, None), (9001, ""), (9002, "A b"), (9003, "a  B"), (9004, "a b c"), (9005, "  x"), (9006, " x")]
+    df = docs(spark, [*texts, (None, "a b c"), (9004, "a b c")]).withColumns({n: F.lit(1) for n in ("kept", "_id", "_gone", "_n")})
+    out = near_dup.near_duplicates(ws, df).collect()
     got = {x.doc_id: (x.n_shingles, x.component_id) for x in out if x.doc_id is not None}
     assert got == brute_groups(texts) and len(out) == len(texts) + 2
     assert [(x.component_id, x.kept) for x in out if x.doc_id is None] == [(None, True)]
-    assert near_dup.near_duplicates(Workspace(spark, "e"), docs(spark, texts).limit(0)).count() == 0
+    if block == 512:
+        left = near_dup.keep_one(Workspace(spark, "k"), df)
+        assert left.columns == df.columns and {x.doc_id for x in left.collect()} == {i for i, (_, c) in got.items() if i == c} | {None}
+        named = near_dup.near_duplicates(Workspace(spark, "s"), df.filter("doc_id is not null").withColumn("doc_id", F.format_string("d%05d", "doc_id"))).collect()
+        assert {x.doc_id: (x.n_shingles, x.component_id) for x in named} == {f"d{i:05d}": (n, f"d{c:05d}") for i, (n, c) in got.items()}
+        assert near_dup.near_duplicates(Workspace(spark, "e"), df.limit(0)).count() == 0
+
+
+def test_sets_that_share_an_id_and_a_very_long_text(spark, ws):
+    a, b, long = " ".join(words(60, 1)), " ".join(words(60, 2)), " ".join(words(120_000, 3, 10**6))
+    rows = [(5, a), (5, b), (7, a + " x"), (8, b + " y"), (3, b + " z"), (9, long), (10, long + " end"), (2, None)]
+    got = sorted((x.doc_id, x.component_id, x.kept) for x in near_dup.near_duplicates(ws, docs(spark, rows)).collect())
+    assert got == [(2, 2, True), (3, 3, True), (5, 3, False), (5, 5, True), (7, 5, False), (8, 3, False), (9, 9, True), (10, 9, False)]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no tables")
+def test_near_duplicates_match_brute_force_on_whole_table(spark, ws):
+    """All pairs of different sets that share a shingle at all, counted by shingle."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    sets, first = {}, {}
+    for i, t in sorted(rows):
+        w = (t or "").encode().lower().split()
+        k = min(4, len(w))
+        sets[i] = frozenset(tuple(w[j : j + k]) for j in range(len(w) - k + 1)) if w else frozenset()
+        first.setdefault(sets[i], i)
+    where, both = {}, {}
+    for s, i in first.items():
+        for g in s:
+            for j in where.setdefault(g, []):
+                both[j, i] = both.get((j, i), 0) + 1
+            where[g].append(i)
+    label = {i: first[s] if s else i for i, s in sets.items()}
+    links = [p for p, n in both.items() if 100 * n >= 80 * (len(sets[p[0]]) + len(sets[p[1]]) - n)]
+    root = {i: i for i in first.values()}
+    for _ in range(len(links) + 1):
+        changed = False
+        for x, y in links:
+            if root[x] != root[y]:
+                root[x] = root[y] = min(root[x], root[y])
+                changed = True
+        if not changed:
+            break
+    want = {i: (len(s), root[label[i]] if s else i) for i, s in sets.items()}
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in near_dup.near_duplicates(ws, docs(spark, rows)).collect()}
+    assert got == want and len(links) > 3
 
 
 def test_sizes_exactly_at_the_threshold_link(spark, ws):
