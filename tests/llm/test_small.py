@@ -452,7 +452,42 @@ def test_classifier_learns_from_passages_and_never_from_held_out_labels(spark):
     assert all(abs(again[i] - x.score) < 1e-9 for i, x in got.items())
     assert quality.train(df, y.limit(0)) == 0.5
     assert quality.score_quality(df, 0.5).count() == 403
-    assert quality.encode("a " * 20_000).shape[0] == -(-20_000 // quality.PASSAGE_WORDS)
+    assert next(quality.encode(["a " * 20_000])).shape[0] == -(-20_000 // quality.PASSAGE_WORDS)
+    again = df.unionByName(df).withColumns({"_id": F.lit(1), "_y": F.lit(1), "score": F.lit(1), "_text": F.lit(1)})
+    twice = quality.score_quality(again, quality.train(again, y)).collect()
+    assert len(twice) == 806 and all(abs(x.score - got[x.doc_id].score) < 1e-9 for x in twice), "repeated rows count once"
+
+
+def test_encoding_does_not_depend_on_what_lies_beside(monkeypatch):
+    texts = [" ".join(words(n, n)) for n in (1, 47, 48, 49, 200, 1000)] + ["", None, "a\u2003b  c\n", "x"]
+    table = np.random.default_rng(1).normal(size=(quality.BUCKETS, quality.VECTOR)).astype(np.float32)
+    alone = [next(quality.encode([t], table)) for t in texts]
+    together = list(quality.encode(texts, table))
+    for a, shares in zip(alone, quality.encode(texts), strict=True):
+        assert np.allclose(a[:, quality.STATISTICS :], shares[:, quality.STATISTICS :] @ table, atol=1e-5)
+    monkeypatch.setattr(quality, "PIECE", 2)
+    pieces = list(quality.encode(texts, table))
+    assert all(len(a) == max(1, -(-len((t or "").split()) // 48)) for a, t in zip(alone, texts, strict=True))
+    assert all(np.array_equal(a, b) and np.array_equal(a, c) for a, b, c in zip(alone, together, pieces, strict=True))
+
+
+def test_classifier_tells_word_order_where_characters_are_alike(spark):
+    """Good and bad texts hold the same words as often; only in good ones they follow a grammar."""
+    r, rows, labels = random.Random(6), [], []
+    vocabulary = [f"{a}{b}" for a in "bdfgkl" for b in ("aro", "eni", "otu", "iva", "uso")]
+    follows = {w: r.sample(vocabulary, 2) for w in vocabulary}
+    for i in range(700):
+        w = [r.choice(vocabulary)]
+        while len(w) < 150:
+            w.append(r.choice(follows[w[-1]]))
+        good = i % 2
+        if not good:
+            r.shuffle(w)
+        rows.append((i, " ".join(w)))
+        labels.append((i, good, 0))
+    df, y = docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {x.doc_id: x for x in quality.score_quality(df, quality.train(df, y)).collect()}
+    assert np.mean([got[i].predicted == q for i, q, _ in labels if got[i].held_out]) > 0.95
 
 
 # ---- 7
