@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .core import as_column, as_value
+from .semistructured import xml_attribute, xml_content, xml_name
 
 
 def arrays_overlap(a: Any, b: Any) -> Column:
@@ -137,8 +138,11 @@ def to_array(e: Any) -> Column:
 
 
 def get(container: Any, key: Any) -> Column:
-    """An element by 0-based position, a value by key, null if absent; a variant by its path or position."""
+    """An element by 0-based position, a value by key, null if absent; a variant by its path or position. Of an XML element
+    '$' is the content, '@' the name and '@name' an attribute."""
     c = as_column(container)
+    if isinstance(key, str) and key[:1] in ("$", "@"):
+        return xml_content(c) if key == "$" else xml_name(c) if key == "@" else xml_attribute(c, key[1:])
     return F.try_element_at(c, as_value(key)) if isinstance(key, str) else F.get(c, as_value(key))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column, Window
@@ -128,21 +129,39 @@ def pow(a: Any, b: Any) -> Column:
     return F.pow(as_column(a), as_column(b))
 
 
+#: Scales that a column may give; beyond them a number keeps all its digits, or none.
+_SCALES = range(-18, 19)
+
+
+def _by_scale(c: Column, scale: Column, make) -> Column:
+    """make(c, k) for the scale k of each row; only the row's own branch is evaluated."""
+    out = F.when(scale.isNull(), F.lit(None))
+    for k in _SCALES:
+        out = out.when(scale == k, make(c, k))
+    return out.when(scale > _SCALES[-1], c).otherwise(c * 0)
+
+
 def round(e: Any, scale: Any = 0) -> Column:
-    """Half away from zero; a scale column may differ by row."""
+    """Half away from zero, in the number's own type; a scale column may differ by row."""
     c = as_column(e)
-    if isinstance(scale, int):
-        return F.round(c, scale)
-    by = F.pow(F.lit(10.0), as_column(scale))
-    return F.signum(c) * F.floor(F.abs(c) * by + 0.5) / by
+    return F.round(c, scale) if isinstance(scale, int) else _by_scale(c, as_column(scale), F.round)
+
+
+def _cut(c: Column, scale: int) -> Column:
+    if scale <= 0:
+        return c - c % F.lit(10**-scale)  # exact for whole numbers and decimals, and for doubles too
+    # in decimals exact; of doubles the nearest one may lie just below a decimal that is whole after scaling
+    up, down = (F.lit(Decimal(1).scaleb(k)) for k in (scale, -scale))
+    scaled = F.round(F.abs(c) * up, 9)
+    cut = F.round((scaled - scaled % F.lit(1)) * down, scale)
+    # a number with no digit to cut is itself, also where scaling it would lose some
+    return F.when(F.abs(c) >= F.lit(Decimal(10) ** 15), c - c % down).when(c < 0, -cut).otherwise(cut)
 
 
 def trunc(e: Any, scale: Any = 0) -> Column:
-    """Cuts digits off towards zero."""
-    c, s = as_column(e), as_value(scale)
-    by = F.pow(F.lit(10.0), s)
-    # the nearest double may lie just below a decimal that is whole after scaling
-    return F.signum(c) * F.floor(F.round(F.abs(c) * by, 9)) / by
+    """Cuts digits off towards zero, in the number's own type; a scale column may differ by row."""
+    c = as_column(e)
+    return _cut(c, scale) if isinstance(scale, int) else _by_scale(c, as_column(scale), _cut)
 
 
 def bitshiftleft(e: Any, bits: Any) -> Column:
@@ -227,5 +246,12 @@ def uniform(low: Any, high: Any, gen: Any = None) -> Column:
 
 
 def format_number(e: Any, d: int) -> Column:
-    """Grouped by thousands with d decimals, up to six digits before the point."""
-    return F.trim(F.to_char(as_column(e).cast(f"decimal({6 + d},{d})"), F.lit("999,990" + ("." + "0" * d if d else ""))))
+    """Grouped by thousands with d decimals. A negative d gives null; so many digits before the point that the format has no place
+    for them (more than six) give number signs."""
+    if d < 0:
+        return F.lit(None).cast("string")
+    c, point = as_column(e), "." if d else ""
+    rounded = F.round(c.cast("decimal(38,18)"), d)
+    fits = F.abs(rounded) < 1_000_000
+    shown = F.trim(F.to_char(F.when(fits, rounded).cast(f"decimal({6 + d},{d})"), F.lit("999,990" + point + "0" * d)))
+    return F.when(fits, shown).when(c.isNotNull(), F.lit("###,###" + point + "#" * d))

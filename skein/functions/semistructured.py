@@ -241,6 +241,41 @@ def to_xml(e: Any) -> Column:
     return F.to_xml(as_column(e))
 
 
-def xmlget(xml: Any, tag: str, instance: int = 0) -> Column:
-    """The text of the n-th child element of that name (0-based), null if absent."""
-    return F.get(F.xpath(as_column(xml), F.lit(f"/*/{tag}/text()")), F.lit(instance))
+def _child(texts: pd.Series, tags: pd.Series, instances: pd.Series) -> pd.Series:
+    def one(text: str | None, tag: str | None, instance: Any) -> str | None:
+        if text is None or tag is None or pd.isna(instance):
+            return None
+        try:
+            found = ElementTree.fromstring(text).findall(tag)
+        except (ElementTree.ParseError, SyntaxError):
+            return None
+        if not 0 <= int(instance) < len(found):
+            return None
+        found[int(instance)].tail = None
+        return ElementTree.tostring(found[int(instance)], encoding="unicode")
+
+    return pd.Series([one(*x) for x in zip(texts, tags, instances, strict=True)], dtype=object)
+
+
+def xmlget(xml: Any, tag: Any, instance: Any = 0) -> Column:
+    """The n-th child element of that name (0-based) as XML text, null if absent. xml_content and xml_name ask such an
+    element further; xmlget of it gives its own children."""
+    t, n = (as_value(x) for x in (tag, instance))
+    return F.pandas_udf(_child, "string")(as_column(xml), t.cast("string"), n.cast("int"))
+
+
+def xml_content(element: Any) -> Column:
+    """What get(element, '$') gives: the element's text, or the XML of its children if it has any."""
+    c = as_column(element)
+    inner = F.regexp_extract(c, r"(?s)^<[^>]*[^/>]>(.*)</[^>]*>$", 1)
+    return F.when(c.isNotNull(), F.when(inner.contains("<"), inner).otherwise(F.xpath_string(c, F.lit("/*/text()"))))
+
+
+def xml_name(element: Any) -> Column:
+    """What get(element, '@') gives: the element's name."""
+    return F.xpath_string(as_column(element), F.lit("name(/*)"))
+
+
+def xml_attribute(element: Any, name: str) -> Column:
+    """What get(element, '@name') gives: an attribute, null if absent."""
+    return F.get(F.xpath(as_column(element), F.lit(f"/*/@{name}")), F.lit(0))

@@ -137,10 +137,8 @@ def endswith(e: Any, part: Any) -> Column:
 
 
 def char(e: Any) -> Column:
-    """The character of a code point (up to 65535)."""
-    c = as_column(e).cast("int")
-    code = F.lpad(F.hex(c), 4, "0")
-    return F.decode(F.unhex(code), "UTF-16BE")
+    """The character of a code point."""
+    return F.decode(F.unhex(F.lpad(F.hex(as_column(e).cast("int")), 8, "0")), "UTF-32")
 
 
 chr = char

@@ -81,7 +81,8 @@ class Aggregate:
         self.handler, self.returnType = handler, returnType
 
     def whole_group(self):
-        """A pandas aggregate: a group's rows come to one task in one batch. For groups of moderate size."""
+        """A pandas aggregate of any number of columns: a group's rows come to one task in one batch. For groups of moderate
+        size; `partial` is for others."""
         h = self.handler
 
         def fold(*columns: pd.Series):
@@ -90,14 +91,7 @@ class Aggregate:
                 state = h.accumulate(state, *row)
             return h.terminate(state)
 
-        import inspect
-
-        n = len(inspect.signature(h.accumulate).parameters) - 1
-        names = [f"c{i}" for i in range(n)]
-        # pandas aggregates are told apart by the annotations of their parameters
-        inner = {1: lambda c0: fold(c0), 2: lambda c0, c1: fold(c0, c1), 3: lambda c0, c1, c2: fold(c0, c1, c2), 4: lambda c0, c1, c2, c3: fold(c0, c1, c2, c3)}[n]
-        inner.__annotations__ = {k: pd.Series for k in names} | {"return": object if self.returnType == "string" else float}
-        return F.pandas_udf(inner, self.returnType, F.PandasUDFType.GROUPED_AGG)
+        return F.pandas_udf(fold, self.returnType, F.PandasUDFType.GROUPED_AGG)
 
     def __call__(self, *columns: Any) -> Column:
         return self.whole_group()(*map(as_column, columns))

@@ -268,3 +268,59 @@ def test_jobs_tags_names(session, pairs):
     assert pairs.filter(F.col("a") == S.toScalar(session.createDataFrame([(3,)], ["m"]))).count() == 2
     with pytest.raises(ValueError):
         S.toScalar(pairs)
+
+
+def _csv(tmp_path, **files):
+    for name, text in files.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    return str(tmp_path)
+
+
+def test_csv_options_beyond_the_plain_reader(spark, tmp_path):
+    session = Session(spark)
+    path = _csv(tmp_path, a="h1\nh2\n1,x,1.5\n-,NA,\n3,\"q,r\",2.5\n", b="h1\nh2\n4,y,0.5\n")
+    reader = session.read.schema("i int, t string, d double").option("SKIP_HEADER", 2)
+    got = sorted(map(tuple, reader.options({"NULL_IF": ["", "NA", "-"], "FIELD_OPTIONALLY_ENCLOSED_BY": '"'}).csv(path).collect()), key=str)
+    assert got == [(1, "x", 1.5), (3, "q,r", 2.5), (4, "y", 0.5), (None, None, None)]
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        reader.csv(path).collect()
+
+
+def test_csv_files_with_errors_are_left_out(spark, tmp_path):
+    session = Session(spark)
+    path = _csv(tmp_path, good="1,a\n2,b\n", bad="3,c\nx,d\n5,e\n")
+    reader = session.read.schema("i int, t string")
+    load = lambda how: sorted(r.i for r in reader.option("ON_ERROR", how).csv(path).collect())
+    assert load("SKIP_FILE") == [1, 2] and load("SKIP_FILE_2") == load("SKIP_FILE_50%") == [1, 2, 3, 5] and load("CONTINUE") == [1, 2, 3, 5]
+    assert load("SKIP_FILE_30%") == [1, 2]
+
+
+def test_copy_limits_and_validation(spark, tmp_path):
+    session = Session(spark)
+    path = _csv(tmp_path, a="1\n" * 50, b="2\n" * 50, c="3\n" * 50)
+    spark.sql("drop table if exists copy_limits")
+    spark.sql("create table copy_limits (i int) using parquet")
+    files = session.read.schema("i int").csv(path)
+    assert files.copyInto("copy_limits", options={"VALIDATION_MODE": "RETURN_ERRORS"}) == 0 and spark.table("copy_limits").count() == 0
+    assert files.copyInto("copy_limits", options={"SIZE_LIMIT": 150}) == 2 and spark.table("copy_limits").count() == 100
+    assert files.copyInto("copy_limits") == 1 and spark.table("copy_limits").count() == 150
+
+
+def test_aggregates_of_many_arguments(spark):
+    class Sum:
+        def initialize(self):
+            return 0
+
+        def accumulate(self, state, a, b, c, d, e):
+            return state + a + b + c + d + e
+
+        def merge(self, a, b):
+            return a + b
+
+        def terminate(self, state):
+            return state
+
+    df = spark.range(6).select(F.col("id").alias("k"), *[(F.col("id") * i).alias(f"c{i}") for i in range(5)])
+    made = Session(spark).udaf.registerTemporary(Sum, "bigint")
+    assert df.agg(made(*[f"c{i}" for i in range(5)]).alias("s")).first().s == 150
+    assert made.partial(df, [], [f"c{i}" for i in range(5)], "s").first().s == 150

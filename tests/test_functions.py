@@ -103,7 +103,24 @@ CASES = {
     "as_varchar": (lambda: S.as_varchar(S.parse_json(F.lit('"3"'))), "3"),
     "strip_null": (lambda: S.strip_null_value(S.parse_json(F.lit("null"))), None),
     "is_null_value": (lambda: S.is_null_value(S.parse_json(F.lit("null"))), True),
-    "xmlget": (lambda: S.xmlget(F.lit("<r><t>a</t><t>b</t></r>"), "t", 1), "b"),
+    "xmlget": (lambda: S.xmlget(F.lit("<r><t>a</t><t>b</t></r>"), "t", 1), "<t>b</t>"),
+    "xmlget_content": (lambda: S.get(S.xmlget(F.lit("<r><t>a</t><t>b</t></r>"), "t", 1), "$"), "b"),
+    "xmlget_name": (lambda: S.get(S.xmlget(F.lit("<r><t3 id='7'>a</t3></r>"), "t3", F.lit("0")), "@"), "t3"),
+    "xmlget_attribute": (lambda: S.get(S.xmlget(F.lit("<r><t3 id='7'>a</t3></r>"), "t3"), "@id"), "7"),
+    "xmlget_nested": (lambda: S.get(S.xmlget(S.xmlget(F.lit("<r><a><b>x</b></a></r>"), "a"), "b"), "$"), "x"),
+    "xmlget_inner": (lambda: S.get(S.xmlget(F.lit("<r><a><b>x</b></a></r>"), "a"), "$"), "<b>x</b>"),
+    "xmlget_none": (lambda: S.xmlget(F.lit("<r><t>a</t></r>"), "t", 1), None),
+    "trunc_decimal": (lambda: S.trunc(F.lit("12345678901234567890.129").cast("decimal(30,3)"), 2).cast("string"), "12345678901234567890.120"),
+    "trunc_long": (lambda: S.trunc(F.lit(9007199254740993), 0), 9007199254740993),
+    "trunc_long_scale": (lambda: S.trunc(F.lit(-123456), -2), -123400),
+    "trunc_huge_double": (lambda: S.trunc(F.lit(1e19), 0), 1e19),
+    "trunc_double_as_written": (lambda: S.trunc(F.lit(0.29), 2), 0.29),
+    "trunc_by_column": (lambda: S.trunc(F.lit(-3.19), F.lit(1)), -3.1),
+    "round_decimal_by_column": (lambda: str(1) and S.round(F.lit("1.005").cast("decimal(12,3)"), F.lit(2)).cast("decimal(12,2)").cast("string"), "1.01"),
+    "format_number_large": (lambda: S.format_number(F.lit(1234567.5), 1), "###,###.#"),
+    "format_number_edge": (lambda: S.format_number(F.lit(999999.4), 0), "999,999"),
+    "format_number_negative": (lambda: S.format_number(F.lit(5), -1), None),
+    "char_beyond_16_bits": (lambda: S.char(F.lit(128512)), "\U0001f600"),
     "cast_number": (lambda: S.cast(F.lit("12"), "number(5, 1)").cast("string"), "12.0"),
     "in_rows": (lambda: S.in_([F.col("i"), F.col("s")], [(1, "test1"), (2, "x")]), True),
     "equal_nan": (lambda: S.equal_nan(F.lit(float("nan"))), True),
