@@ -154,9 +154,13 @@ as_timestamp_tz = as_timestamp_ltz
 
 
 def check_json(e: Any) -> Column:
-    """Null for valid JSON and for null, else a message."""
+    """Null for valid JSON and for null, else a message. Spark's parser stops after the first value, so text behind it is
+    found by parsing the whole as the only element of an array, and as a field."""
     c = as_column(e)
-    return F.when(c.isNotNull() & F.try_parse_json(c).isNull(), F.lit("invalid JSON"))
+    listed = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
+    field = F.try_parse_json(F.concat(F.lit('{"v":'), c, F.lit("}")))
+    whole = listed.isNotNull() & field.isNotNull() & (F.size(F.try_variant_get(listed, "$", "array<variant>")) == 1)
+    return F.when(c.isNotNull() & ~whole, F.lit("invalid JSON"))
 
 
 def _xml_errors(texts: pd.Series) -> pd.Series:

@@ -28,4 +28,4 @@ def query(sql: str | None = None):
     return add
 
 
-from . import function_queries, relational_queries, table_queries  # noqa: E402, F401
+from . import function_queries, relational_queries, table_queries, value_queries  # noqa: E402, F401

@@ -31,16 +31,15 @@ def flatten_json(spark, d):
     return t(spark, d, "events").flatten("props").select("event_id", "KEY", F.col("VALUE").cast("bigint").alias("VALUE"))
 
 
-@query("""select event_id, 'a[0]' "PATH" from events where event_id < 20 union all select event_id, 'a' from events where event_id < 20 union all
-    select event_id, 'a[1]' from events where event_id < 20 union all select event_id, 'a[1].b' from events where event_id < 20""")
+@query("""select event_id, p "PATH" from events, (values ('a'), ('a.k'), ('b'), ('b[0]'), ('b[1]'), ('b[1].k')) x(p)""")
 def flatten_recursive(spark, d):
-    e = t(spark, d, "events").filter("event_id < 20").withColumn("j", F.lit('{"a": [1, {"b": 2}]}'))
-    return e.flatten("j", recursive=True).select("event_id", "PATH")
+    nested = F.concat(F.lit('{"a": '), "props", F.lit(', "b": [1, '), "props", F.lit("]}"))
+    return t(spark, d, "events").withColumn("j", nested).flatten("j", recursive=True).select("event_id", "PATH")
 
 
-@query("select vec_id, unnest(embedding) \"VALUE\" from embeddings where vec_id < 50")
+@query("select vec_id, unnest(embedding) \"VALUE\" from embeddings")
 def explode_array(spark, d):
-    return t(spark, d, "embeddings").filter("vec_id < 50").explode("embedding").select("vec_id", "VALUE")
+    return t(spark, d, "embeddings").explode("embedding").select("vec_id", "VALUE")
 
 
 def copy_of(spark, d, name):
