@@ -7,6 +7,7 @@ from collections.abc import Callable
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,19 +20,54 @@ def _named(prefix: str, name: str | None) -> str:
     return name or f"{prefix}_{uuid.uuid4().hex}"
 
 
+class _Kept:
+    """Permanent registrations: pickled files in the warehouse, which every later session of it registers again."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.root = spark, f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_skein_functions"
+
+    def _path(self, name: str = "") -> tuple[Any, Any]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def put(self, kind: str, name: str | None, args: tuple) -> None:
+        if not name or not name.isidentifier():
+            raise ValueError("a permanent function needs a name of letters, digits and underscores")
+        path, fs = self._path(f"{kind}-{name}.pickle")
+        out = fs.create(path, True)
+        out.write(bytearray(cloudpickle.dumps((name, args))))
+        out.close()
+
+    def drop(self, kind: str, name: str) -> None:
+        path, fs = self._path(f"{kind}-{name}.pickle")
+        fs.delete(path, False)
+
+    def all(self, kind: str) -> list[tuple]:
+        path, fs = self._path()
+        if not fs.exists(path):
+            return []
+        files = self.spark.read.format("binaryFile").option("pathGlobFilter", f"{kind}-*.pickle").load(self.root)
+        return [cloudpickle.loads(bytes(r["content"])) for r in files.select("content").collect()]  # one row for each function
+
+
 class UdfRegistration:
-    """Scalar functions. A permanent one is registered again in each session that calls the same registration."""
+    """Scalar functions. A permanent one is kept in the warehouse; `restore` registers all of them in a later session."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
 
+    def registerPermanent(self, f: Callable, returnType: Any = "string", name: str | None = None, vectorized: bool = False) -> Callable[..., Column]:
+        _Kept(self.spark).put("udf", name, (f, returnType, vectorized))
+        return self.registerTemporary(f, returnType, name, vectorized)
+
+    def restore(self) -> dict[str, Callable[..., Column]]:
+        return {name: self.registerTemporary(f, kind, name, vectorized) for name, (f, kind, vectorized) in _Kept(self.spark).all("udf")}
+
     def registerTemporary(self, f: Callable, returnType: Any = "string", name: str | None = None, vectorized: bool = False) -> Callable[..., Column]:
         made = F.pandas_udf(f, returnType) if vectorized else F.udf(f, returnType, useArrow=True)
         self.spark.udf.register(_named("udf", name), made)
         return lambda *columns: made(*map(as_column, columns))
 
-    registerPermanent = registerTemporary
-
 
 class UdtfRegistration:
     """Table functions: classes with eval (or process) and terminate (or endPartition) that yield tuples."""
@@ -58,7 +94,12 @@ class UdtfRegistration:
         self.spark.udtf.register(known, F.udtf(cls, returnType=returnType))
         return TableFunction(known)
 
-    registerPermanent = registerTemporary
+    def registerPermanent(self, cls: type, returnType: str, name: str | None = None) -> TableFunction:
+        _Kept(self.spark).put("udtf", name, (cls, returnType))
+        return self.registerTemporary(cls, returnType, name)
+
+    def restore(self) -> dict[str, TableFunction]:
+        return {name: self.registerTemporary(cls, kind, name) for name, (cls, kind) in _Kept(self.spark).all("udtf")}
 
 
 class UdafRegistration:
@@ -73,7 +114,12 @@ class UdafRegistration:
             self.spark.udf.register(name, agg.whole_group())
         return agg
 
-    registerPermanent = registerTemporary
+    def registerPermanent(self, handler: Any, returnType: str, name: str | None = None) -> Aggregate:
+        _Kept(self.spark).put("udaf", name, (handler, returnType))
+        return self.registerTemporary(handler, returnType, name)
+
+    def restore(self) -> dict[str, Aggregate]:
+        return {name: self.registerTemporary(handler, kind, name) for name, (handler, kind) in _Kept(self.spark).all("udaf")}
 
 
 class Aggregate:
@@ -135,7 +181,12 @@ class ProcedureRegistration:
         self.known[made.name] = made
         return made
 
-    registerPermanent = registerTemporary
+    def registerPermanent(self, f: Callable, name: str | None = None) -> StoredProcedure:
+        _Kept(self.session.spark).put("procedure", name, (f,))
+        return self.registerTemporary(f, name)
+
+    def restore(self) -> dict[str, StoredProcedure]:
+        return {name: self.registerTemporary(f, name) for name, (f,) in _Kept(self.session.spark).all("procedure")}
 
     def runLocally(self, f: Callable, *args: Any) -> Any:
         return f(self.session, *args)

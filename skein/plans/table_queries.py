@@ -1,6 +1,7 @@
 """Table functions, sources and sinks, changes of tables, user-defined functions."""
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -16,8 +17,12 @@ from .relational_queries import t
 
 
 def folder(spark, name):
-    """A new folder in the shared place that the cluster names, or a local one where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "skein-files")
+    """A new folder in the shared place that the cluster names; a local one only where Spark runs in one process."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = os.path.join(tempfile.gettempdir(), "skein-files")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -124,6 +124,11 @@ class Session:
 
     # ---- jobs
 
+    def restoreFunctions(self) -> dict[str, Any]:
+        """Registers the warehouse's permanent functions in this session, by name. They are pickles: only for a warehouse
+        that one trusts."""
+        return self.udf.restore() | self.udtf.restore() | self.udaf.restore() | self.sproc.restore()
+
     def cancelAll(self) -> None:
         self.spark.interruptAll()
 

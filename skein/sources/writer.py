@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import namedtuple
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 WriteFileResult = namedtuple("WriteFileResult", "rows_unloaded input_bytes output_bytes")
@@ -44,7 +45,7 @@ class FrameWriter:
         table = name if isinstance(name, str) else ".".join(f"`{x}`" for x in name)
         df, spark, mode = self.frame.df, self.frame.session, self._mode or "append"
         if str(self._options.get("TABLETYPE", "")).lower() in ("temp", "temporary"):
-            df.createOrReplaceTempView(table)
+            self._temporary(table, df, mode)
             return
         if not spark.catalog.tableExists(table):
             df.write.saveAsTable(table, format="parquet", mode=mode)
@@ -59,6 +60,20 @@ class FrameWriter:
         elif mode == "errorifexists":
             raise ValueError(f"table {table} exists")
 
+    def _temporary(self, table: str, df: DataFrame, mode: str) -> None:
+        """Rows as they are now, in a folder of the session, under a name that only this session sees."""
+        spark = self.frame.session
+        known = any(t.isTemporary and f"`{t.name}`".strip("`") == table.strip("`") for t in spark.catalog.listTables())
+        if known and mode == "errorifexists":
+            raise ValueError(f"table {table} exists")
+        if known and mode == "ignore":
+            return
+        if known and mode == "append":
+            df = spark.table(table).union(df)
+        path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_skein_temporary/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        spark.read.schema(df.schema).parquet(path).createOrReplaceTempView(table)
+
     def _files(self, fmt: str, path: str) -> WriteFileResult:
         """Exports files; the result tells rows as observed while writing, and bytes from a listing afterwards."""
         mode = self._mode or ("overwrite" if str(self._options.get("OVERWRITE", "")).lower() == "true" else "errorifexists")

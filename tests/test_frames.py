@@ -324,3 +324,51 @@ def test_aggregates_of_many_arguments(spark):
     made = Session(spark).udaf.registerTemporary(Sum, "bigint")
     assert df.agg(made(*[f"c{i}" for i in range(5)]).alias("s")).first().s == 150
     assert made.partial(df, [], [f"c{i}" for i in range(5)], "s").first().s == 150
+
+
+def test_permanent_functions_are_registered_again(spark, session):
+    class Words:
+        def eval(self, text):
+            for w in text.split():
+                yield (w,)
+
+    class Total:
+        def initialize(self):
+            return 0
+
+        def accumulate(self, state, x):
+            return state + x
+
+        def merge(self, a, b):
+            return a + b
+
+        def terminate(self, state):
+            return state
+
+    session.udf.registerPermanent(lambda x: x + 1, "bigint", "kept_plus")
+    session.udtf.registerPermanent(Words, "word string", "kept_words")
+    session.udaf.registerPermanent(Total, "bigint", "kept_total")
+    session.sproc.registerPermanent(lambda s, x: s.range(x).count(), "kept_count")
+    with pytest.raises(ValueError):
+        session.udf.registerPermanent(lambda x: x, "bigint")
+    later = Session(spark.newSession())
+    found = later.restoreFunctions()
+    assert set(found) == {"kept_plus", "kept_words", "kept_total", "kept_count"}
+    assert later.sql("select kept_plus(id) x from range(2)").df.agg(F.sum("x")).first()[0] == 3
+    assert later.sql("select * from kept_words('a b')").count() == 2
+    assert later.sql("select kept_total(id) x from range(4)").first().x == 6
+    assert later.range(3).df.agg(found["kept_total"]("id").alias("x")).first().x == 3
+    assert later.sproc.known["kept_count"].f(later, 5) == 5
+
+
+def test_temporary_tables_hold_the_rows_of_their_time(spark, session):
+    spark.sql("create table moving (i int) using parquet")
+    spark.sql("insert into moving values (1), (2)")
+    session.table("moving").write.option("TABLETYPE", "temp").saveAsTable("still")
+    spark.sql("insert into moving values (3)")
+    assert sorted(r.i for r in session.table("still").collect()) == [1, 2] and any(t.name == "still" and t.isTemporary for t in spark.catalog.listTables())
+    session.table("moving").write.option("TABLETYPE", "temp").saveAsTable("still")
+    assert sorted(r.i for r in spark.table("still").collect()) == [1, 1, 2, 2, 3]
+    with pytest.raises(ValueError):
+        session.table("moving").write.option("TABLETYPE", "temp").mode("errorifexists").saveAsTable("still")
+    assert not any(t.name == "still" for t in spark.newSession().catalog.listTables())
