@@ -72,7 +72,7 @@ def budgets(supply: dict[tuple, int], total: float, weights: dict, epochs: int)
     return out
 
 
-def mix(ws: Workspace, docs: DataFrame, total_fraction: float = 0.5, epochs: int = 3, seed: str = "mix-1", weights: dict | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def mix(ws: Workspace, docs: DataFrame, total_fraction: float = 0.5, epochs: int = 3, seed: str = "mix-1", weights: dict | None = None, id_col: str = "doc_id", text_col: str = "text", annotate: bool = True) -> DataFrame:
     """docs that the mixture takes, with domain, n_tokens and n_copies (times taken, at most `epochs`).
 
     Every leaf (domain, language, source) gets a token budget from `budgets` over total_fraction of all tokens.
@@ -82,7 +82,7 @@ def mix(ws: Workspace, docs: DataFrame, total_fraction: float = 0.5, epochs: int
     sorts as ''; repeated rows are documents of their own, and equal ids lie next to each other in an epoch.
     One task holds no leaf: a leaf's running sum is split by range. Leaf totals, one row for each
     (domain, language, source), are gathered at the driver. Other columns pass through; those that clash with the
-    three added ones are replaced.
+    three added ones are replaced. Without `annotate` none is added, and each document that is taken keeps its columns.
     """
     path = [F.coalesce(domain_of(), F.lit("")), F.coalesce(F.col("lang"), F.lit("")), F.coalesce(F.col("source"), F.lit(""))]
     leaf = F.to_json(F.array(*path))
@@ -99,9 +99,9 @@ def mix(ws: Workspace, docs: DataFrame, total_fraction: float = 0.5, epochs: int
     counts = taken.groupBy("_id", "_leaf", "_tokens").agg(F.max("n_copies").alias("n_copies")).filter("n_copies > 0")
     counts = ws.put("copies", counts.select(F.col("_id").alias("_cid"), F.col("_leaf").alias("_cleaf"), F.col("_tokens").alias("_ctokens"), "n_copies"))
     ws.drop("epoch", "tokens")
-    added = {"domain", "n_tokens", "n_copies"}
+    added = {"domain", "n_tokens", "n_copies"} if annotate else set()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in"), path[0].alias("_domain"), token_count(F.col(text_col)).alias("_tokens"), leaf.alias("_leaf"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_id"))
     # half of all documents and more are taken: both sides move
     joined = rows.join(counts.hint("merge"), (F.col("_id") == F.col("_cid")) & (F.col("_leaf") == F.col("_cleaf")) & (F.col("_tokens") == F.col("_ctokens")))
     others = [inside(c).alias(c) for c in docs.columns if c.lower() not in added]
-    return joined.select(*others, F.col("_domain").alias("domain"), F.col("_tokens").alias("n_tokens"), "n_copies")
+    return joined.select(*others, *([F.col("_domain").alias("domain"), F.col("_tokens").alias("n_tokens"), "n_copies"] if annotate else []))

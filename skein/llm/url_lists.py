@@ -34,20 +34,29 @@ def filter_urls(ws: Workspace, captures: DataFrame, entries: DataFrame, id_col:
     """(id, url, time, blocked, lists, n_entries) for every capture, by the entries active at its fetch time.
 
     An entry of kind 'domain' matches a host and all its subdomains; 'prefix' matches host and path up to a path
-    segment ('example.com/a' matches /a and /a/b, not /ab). A capture asks with every suffix of its host and every
-    prefix of its path; an equality join finds the keys and the interval decides as of the fetch time
-    (start <= time < end). Lists are the sorted names of the lists that block it.
+    segment ('example.com/a' matches /a and /a/b, not /ab). Keys, hosts and paths are compared in lower case. A capture asks
+    with those suffixes of its host and prefixes of its path that are as deep as some key of the list; an equality join
+    finds the keys and the interval decides as of the fetch time (start <= time < end). Lists are the sorted names of the
+    lists that block it.
 
     A null or unparsable URL, or a null time, matches nothing: blocked false. Rows that share an id are
     evaluated alike and each returned: equal rows count as one question. Extra columns of captures are dropped.
     """
     asked = url_parts(captures, url_col).select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), F.col(time_col).alias("_at"), "_host", "_path")
-    labels, steps = F.split("_host", r"\."), F.split("_path", "/")
-    domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.struct(F.lit("domain").alias("kind"), F.array_join(F.slice(labels, i, F.size(labels)), ".").alias("key")))
-    paths = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.struct(F.lit("prefix").alias("kind"), F.lower(F.concat("_host", F.array_join(F.slice(steps, 1, i), "/"))).alias("key")))
-    questions = asked.filter("_host <> '' and _at is not null").select("_id", "_url", "_at", F.inline_outer(F.array_distinct(F.concat(domains, paths))))
     valid = ws.put("intervals", intervals(entries))
-    hits = questions.join(small(valid, 256), ["kind", "key"]).filter((F.col("_at") >= F.col("start")) & (F.col("end").isNull() | (F.col("_at") < F.col("end"))))
+    # only keys as deep as some key of the list are asked, so that no capture asks for 'com' if the list has no such entry
+    depth = F.size(F.split("key", F.when(F.col("kind") == "domain", F.lit(r"\.")).otherwise(F.lit("/"))))
+    depths: dict[str, list[int]] = {"domain": [], "prefix": []}
+    for r in valid.select("kind", depth.alias("depth")).distinct().collect():  # one row for each kind and depth
+        depths.setdefault(r["kind"], []).append(r["depth"])
+    labels, steps = F.split("_host", r"\."), F.split("_path", "/")
+    last = lambda parts, n: F.array_join(F.slice(parts, F.size(parts) - n + 1, n), ".")
+    first = lambda parts, n: F.lower(F.concat("_host", F.array_join(F.slice(parts, 1, n), "/")))
+    keys = [F.when(F.size(labels) >= n, F.struct(F.lit("domain").alias("kind"), last(labels, n).alias("key"))) for n in sorted(depths["domain"])]
+    keys += [F.when(F.size(steps) >= n, F.struct(F.lit("prefix").alias("kind"), first(steps, n).alias("key"))) for n in sorted(depths["prefix"])]
+    nothing = F.lit(None).cast("struct<kind:string,key:string>")
+    questions = asked.filter("_host <> '' and _at is not null").select("_id", "_url", "_at", F.inline(F.array(*keys, nothing))).filter("key is not null")
+    hits = questions.join(small(valid), ["kind", "key"]).filter((F.col("_at") >= F.col("start")) & (F.col("end").isNull() | (F.col("_at") < F.col("end"))))
     found = hits.groupBy("_id", "_url", "_at").agg(F.array_join(F.array_sort(F.collect_set("list")), ",").alias("_lists"), F.count_distinct("list", "kind", "key", "start").alias("_n"))
     right = found.select(F.col("_id").alias("_i"), F.col("_url").alias("_u"), F.col("_at").alias("_t"), "_lists", "_n")
     out = asked.join(right.hint("merge"), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_url") == F.col("_u")) & (F.col("_at") == F.col("_t")), "left")
