@@ -25,7 +25,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(Workspace(spark, "mixing"), docs, MIX_FRACTION, MIX_EPOCHS).select(*docs.columns)
+    return mixing.mix(Workspace(spark, "mixing"), docs, MIX_FRACTION, MIX_EPOCHS, annotate=False)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
