@@ -24,16 +24,24 @@ MergeResult = namedtuple("MergeResult", "rows_inserted rows_updated rows_deleted
 
 def swap(spark: SparkSession, name: str, rows: DataFrame) -> None:
     """Replaces a table's rows by a frame that may read the table."""
-    base = name.rsplit(".", 1)
-    prefix = f"{base[0]}." if len(base) == 2 else ""
-    new = f"{prefix}_new_{uuid.uuid4().hex}"
-    old = f"{prefix}_old_{uuid.uuid4().hex}"
+    new, old = _sibling(name, "new"), _sibling(name, "old")
     rows.write.saveAsTable(new, format="parquet")
     spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
     spark.sql(f"DROP TABLE {old}")
 
 
+def row_id() -> Column:
+    """A row's place in the table's files: the same in every scan, however the files are split."""
+    return F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+
+
+def _sibling(name: str, kind: str) -> str:
+    """A new table name in the same schema."""
+    base = name.rsplit(".", 1)
+    return (f"{base[0]}." if len(base) == 2 else "") + f"_{kind}_{uuid.uuid4().hex}"
+
+
 def _name(column: Any) -> str:
     return column if isinstance(column, str) else column._jc.toString().rsplit(".", 1)[-1].strip("`")
 
@@ -59,13 +67,13 @@ class Table(Frame):
 
     def _matched(self, condition: Column | None, source: Any) -> DataFrame:
         """Each row once, with how many source rows meet the condition (_hits) and one of these (_src)."""
-        rows = self.df.withColumn("_row", F.monotonically_increasing_id())
+        rows = self.df.withColumn("_row", row_id())
         if source is None:
             hit = F.coalesce(condition, F.lit(False)) if condition is not None else F.lit(True)
             return rows.withColumn("_hits", hit.cast("long"))
         other = _frame(source)
         packed = other.withColumn("_src", F.struct(*[F.col(f"`{c}`") for c in other.columns]))
-        pairs = self.df.withColumn("_row", F.monotonically_increasing_id()).join(packed, condition if condition is not None else F.lit(True), "inner")
+        pairs = self.df.withColumn("_row", row_id()).join(packed, condition if condition is not None else F.lit(True), "inner")
         found = pairs.select("_row", "_src").groupBy("_row").agg(F.count(F.lit(1)).alias("_hits"), F.first("_src").alias("_src"))
         return rows.join(found, "_row", "left").withColumn("_hits", F.coalesce("_hits", F.lit(0).cast("long")))
 
@@ -81,10 +89,10 @@ class Table(Frame):
         else:
             other = _frame(source)
             values = F.struct(*[as_value(v).alias(f"_v{i}") for i, v in enumerate(new.values())])
-            keyed = self.df.withColumn("_row", F.monotonically_increasing_id())
+            keyed = self.df.withColumn("_row", row_id())
             pairs = keyed.join(other, condition if condition is not None else F.lit(True)).select("_row", values.alias("_src"))
             found = pairs.groupBy("_row").agg(F.count(F.lit(1)).alias("_hits"), F.first("_src").alias("_src"))
-            base = self.df.withColumn("_row", F.monotonically_increasing_id())
+            base = self.df.withColumn("_row", row_id())
             rows = base.join(found, "_row", "left").withColumn("_hits", F.coalesce("_hits", F.lit(0).cast("long")))
         seen = Observation()
         counted = rows.observe(seen, F.count_if(F.col("_hits") > 0).alias("n"), F.count_if(F.col("_hits") > 1).alias("multi"))
@@ -131,7 +139,7 @@ class MergeBuilder:
     def collect(self) -> MergeResult:
         """One outer join decides about every row. A target row that several source rows would change is an error."""
         t, columns = self.target, self.target.columns
-        target = t.df.withColumns({"_t": F.lit(True), "_row": F.monotonically_increasing_id()})
+        target = t.df.withColumns({"_t": F.lit(True), "_row": row_id()})
         source = self.source.withColumn("_s", F.lit(True))
         both = target.join(source, self.condition, "full_outer")
         on_target, on_source = F.col("_t").isNotNull(), F.col("_s").isNotNull()
@@ -149,7 +157,16 @@ class MergeBuilder:
                         values[c] = F.when(hit, t.df[c]).otherwise(values[c])
         kinds = {f.name: f.dataType for f in t.schema}
         decided = both.select(*[values[c].cast(kinds[c]).alias(c) for c in columns], "_row", on_target.alias("_had"), action.alias("_action"))
-        decided = decided.filter("_had or _action = 'insert'")
+        # written once: the check, the rows that stay and those that change read it, and the join runs a single time
+        work = _sibling(t.name, "merge")
+        decided.filter("_had or _action = 'insert'").write.saveAsTable(work, format="parquet")
+        try:
+            return self._apply(t.spark.table(work))
+        finally:
+            t.spark.sql(f"DROP TABLE IF EXISTS {work}")
+
+    def _apply(self, decided: DataFrame) -> MergeResult:
+        t, columns = self.target, self.target.columns
         several = decided.filter("_had and _action <> 'keep'").groupBy("_row").count().filter("count > 1")
         if not several.isEmpty():
             raise ValueError("a target row matches several source rows")
