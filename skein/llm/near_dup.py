@@ -111,7 +111,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n.append(len(h))
             prints.append(xxhash.xxh3_128_digest(h.tobytes()))
             out.append(sketch(h).tobytes() if len(h) else None)
-        yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(out, pa.binary())], ["_id", "_n", "_print", "_sketch"])
+        yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("_version"), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(out, pa.binary())], ["_id", "_version", "_n", "_print", "_sketch"])
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,7 +282,7 @@ def _between(ws: Workspace, reps: DataFrame, labels: DataFrame, members: DataFra
     return links
 
 
-def near_duplicates(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", version_col: str | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): components of texts whose shingle sets have Jaccard 0.8 or more.
 
     1. Every text becomes a set, a fingerprint and 190 registers. Equal sets collapse into one node.
@@ -296,10 +296,12 @@ def near_duplicates(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text
     A null or blank text has an empty set and is linked with nothing. A null id is linked with nothing: component null, kept
     true. Rows that share an id are documents of their own where their sets differ; each row is returned, with the
     component of its own set. Ids of any type with an order will do; those that aren't whole numbers are numbered in their order
-    first, which moves the texts once. Other columns are ignored.
+    first, which moves the texts once. Other columns are ignored. `version_col` names a further column with a hash of the
+    text, which tells rows that share an id apart.
     """
     texts, names = renumbered(ws, "ids", docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")))
-    all_sets = ws.put("sketches", texts.mapInArrow(_sketches, "_id long, _n long, _print binary, _sketch binary"))
+    versions = texts.withColumn("_version", F.xxhash64("_text"))
+    all_sets = ws.put("sketches", versions.mapInArrow(_sketches, "_id long, _version long, _n long, _print binary, _sketch binary"))
     known = all_sets.filter("_n > 0 and _id is not null")
     classes = ws.put("classes", known.groupBy("_print").agg(F.min("_id").alias("_id")))
     # a node is the smallest id of its set; where sets share that id, their places in the order of ids serve as nodes
@@ -332,18 +334,20 @@ def near_duplicates(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text
     if shared:
         found = found.join(nodes.select(F.col("_rep").alias("_component"), F.col("_id").alias("_named")), "_component").select("_p", F.col("_named").alias("_component"))
     found = ws.put("found", found)
-    out = all_sets.select("_id", "_n", "_print").join(found.hint("merge"), (F.col("_print") == F.col("_p")) & (F.col("_n") > 0) & F.col("_id").isNotNull(), "left")
-    out = out.select("_id", "_n", F.coalesce("_component", "_id").alias("_component")).withColumn("_kept", F.coalesce(F.col("_id") == F.col("_component"), F.lit(True)))
+    out = all_sets.select("_id", "_version", "_n", "_print").join(found.hint("merge"), (F.col("_print") == F.col("_p")) & (F.col("_n") > 0) & F.col("_id").isNotNull(), "left")
+    out = out.select("_id", "_version", "_n", F.coalesce("_component", "_id").alias("_component")).withColumn("_kept", F.coalesce(F.col("_id") == F.col("_component"), F.lit(True)))
     if names is not None:
         out = out.join(names, "_id", "left").drop("_id").withColumnRenamed("_name", "_id")
         out = out.join(names.toDF("_component", "_name"), "_component", "left").drop("_component").withColumnRenamed("_name", "_component")
-    out = ws.put("result", out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), F.col("_component").alias("component_id"), F.col("_kept").alias("kept")))
+    version = [F.col("_version").alias(version_col)] if version_col else []
+    out = ws.put("result", out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), F.col("_component").alias("component_id"), F.col("_kept").alias("kept"), *version))
     ws.drop("sketches", "classes", "ranked", "nodes", "reps", "found", "labels2", "star_links", "rest_links", "ids", "ids_rows")
     return out
 
 
 def keep_one(ws: Workspace, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the documents whose component has a smaller id. Rows with a null id stay; rows that share an id go
-    together, if one of them is a copy."""
-    gone = near_duplicates(ws, docs, id_col, text_col).filter("not kept").select(F.col(id_col).alias(out := fresh("_gone", docs))).distinct()
-    return docs.join(small(gone), F.col(id_col) == F.col(out), "left_anti")
+    """docs without the documents whose component has a smaller id. Rows with a null id stay. Of rows that share an id
+    each text is a document of its own; rows that are equal in both are one, and stay or go together."""
+    found = near_duplicates(ws, docs, id_col, text_col, "_version").filter("not kept")
+    gone = found.select(F.col(id_col).alias(out := fresh("_gone", docs)), F.col("_version").alias(text := fresh("_gone_text", docs))).distinct()
+    return docs.join(small(gone), (F.col(id_col) == F.col(out)) & (F.xxhash64(text_col) == F.col(text)), "left_anti")

@@ -617,6 +617,8 @@ def test_sets_that_share_an_id_and_a_very_long_text(spark, ws):
     rows = [(5, a), (5, b), (7, a + " x"), (8, b + " y"), (3, b + " z"), (9, long), (10, long + " end"), (2, None)]
     got = sorted((x.doc_id, x.component_id, x.kept) for x in near_dup.near_duplicates(ws, docs(spark, rows)).collect())
     assert got == [(2, 2, True), (3, 3, True), (5, 3, False), (5, 5, True), (7, 5, False), (8, 3, False), (9, 9, True), (10, 9, False)]
+    left = near_dup.keep_one(Workspace(spark, "k"), docs(spark, rows))
+    assert sorted((r.doc_id, r.text) for r in left.filter("doc_id <> 2").collect()) == [(3, b + " z"), (5, a), (9, long)]
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no tables")
