@@ -32,9 +32,27 @@ def _listed(items: tuple) -> list:
     return list(items[0]) if len(items) == 1 and isinstance(items[0], (list, tuple)) else list(items)
 
 
+def _together(parts: list[DataFrame]) -> DataFrame:
+    """The union of many frames as a balanced tree, so that the analyser sees each part a few times, not once for every later one."""
+    while len(parts) > 1:
+        parts = [a.union(b) for a, b in zip(parts[::2], parts[1::2], strict=False)] + parts[len(parts) // 2 * 2 :]
+    return parts[0]
+
+
 class Frame:
-    def __init__(self, df: DataFrame):
-        self.df = df
+    def __init__(self, df: DataFrame, *more: DataFrame):
+        """One Spark DataFrame, or the union of several, which is put together when it is first used."""
+        self._parts = [df, *more]
+
+    @property
+    def df(self) -> DataFrame:
+        if len(self._parts) > 1:
+            self._parts = [_together(self._parts)]
+        return self._parts[0]
+
+    @df.setter
+    def df(self, df: DataFrame) -> None:
+        self._parts = [df]
 
     # ---- metadata
 
@@ -190,7 +208,11 @@ class Frame:
         return Frame(self.df.union(_frame(other)).distinct())
 
     def unionAll(self, other: Any) -> Frame:
-        return Frame(self.df.union(_frame(other)))
+        right = other._parts if isinstance(other, Frame) else [_frame(other)]
+        left, new = [f.dataType for f in self._parts[0].schema], [f.dataType for f in right[0].schema]
+        if left != new:  # the analyser decides about types that differ
+            return Frame(self.df.union(_frame(other)))
+        return Frame(*self._parts, *right)
 
     def unionByName(self, other: Any) -> Frame:
         return Frame(self.df.unionByName(_frame(other)).distinct())
