@@ -82,12 +82,15 @@ def probes(docs: DataFrame, partitions: list[Partition]) -> DataFrame:
     """
     d = docs.withColumn("_size", F.size("_w"))
     rows = spread(d, ["_id", "_version", "_size"], max(p.k for p in partitions))
-    asks = {p: _full(p.k) & (_hash(p.k) <= p.top) & (F.col("_size") - (p.k - 1) >= p.need) for p in partitions}
-    any_of = F.lit(False)
-    for ask in asks.values():
-        any_of |= ask
-    sent = F.array(*[F.when(ask, F.struct(F.lit(p.k).alias("_k"), F.lit(p.size_class).alias("_class"), _hash(p.k).alias("_min"))) for p, ask in asks.items()])
-    return rows.filter(any_of).select("_id", "_version", F.inline(sent)).filter("_min is not null")
+    lengths = sorted({p.k for p in partitions})
+    # each hash is computed once to filter the rows and once more for those that pass
+    some = F.lit(False)
+    for k in lengths:
+        own = [p for p in partitions if p.k == k]
+        some |= _full(k) & (F.col("_size") - (k - 1) >= min(p.need for p in own)) & (_hash(k) <= max(p.top for p in own))
+    rows = rows.filter(some).select("_id", "_version", "_size", *[F.when(_full(k), _hash(k)).alias(f"h{k}") for k in lengths])
+    asks = [F.when((F.col(f"h{p.k}") <= p.top) & (F.col("_size") - (p.k - 1) >= p.need), F.struct(F.lit(p.k).alias("_k"), F.lit(p.size_class).alias("_class"), F.col(f"h{p.k}").alias("_min"))) for p in partitions]
+    return rows.select("_id", "_version", F.inline(F.array(*asks))).filter("_min is not null")
 
 
 def contaminated(ws: Workspace, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
